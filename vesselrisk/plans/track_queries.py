@@ -46,8 +46,9 @@ NEAR_EXIT_SQL = " OR ".join(
 )
 
 
-def track_views(*extra: tuple[str, str]) -> str:
-    return with_views("ais_positions", extra=[("win", WIN_SQL), ("lagged", LAGGED_SQL), ("gaps", GAPS_SQL), *extra])
+def track_views(*extra: tuple[str, str], views: tuple[str, ...] = ()) -> str:
+    return with_views("ais_positions", *views,
+                      extra=[("win", WIN_SQL), ("lagged", LAGGED_SQL), ("gaps", GAPS_SQL), *extra])
 
 
 def positions(spark, base):
