@@ -85,6 +85,8 @@ DEPENDS = {"detections": ["ais_positions"]}
 
 
 def with_views(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
+    if not names and not extra:
+        return ""
     """``WITH`` prefix defining the named views (dependencies first)."""
     order: list[str] = []
 

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import fusion_queries, graph_queries, track_queries  # noqa: F401
+from . import fusion_queries, graph_queries, score_queries, track_queries  # noqa: F401
 
-FLAGSHIP = "gap_features"
+FLAGSHIP = "watchlist"
