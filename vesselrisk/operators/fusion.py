@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import geo
 from .rangejoin import Band, band_join, band_semi
-from .tracks import with_previous
+from .tracks import lagged_fixes
 
 US = 1_000_000
 DAY_US = 86_400 * US
@@ -16,7 +16,7 @@ DAY_US = 86_400 * US
 
 def ais_gap_intervals(positions: DataFrame, gap_threshold_h: float) -> DataFrame:
     """Gap intervals: (mmsi, gap_start, gap_end, last_lat, last_lon) with gap > threshold (exact)."""
-    p = with_previous(positions.select("mmsi", "timestamp", "lat", "lon"))
+    p = lagged_fixes(positions)
     return p.where(
         (F.unix_micros("timestamp") - F.unix_micros("prev_timestamp")) > F.lit(int(gap_threshold_h * 3600 * US))
     ).select(
@@ -91,7 +91,7 @@ def unmatched_sar_detections(
         cond, "detection_id",
     )
     unmatched = sar.join(matched, "detection_id", "left_anti")
-    gaps = ais_gap_intervals(ais, gap_threshold_h)
+    gaps = ais_gap_intervals(positions, gap_threshold_h)  # reuses prev_* when the caller passes lagged fixes
     lat_a = attribution_radius_km / C.KM_PER_DEG_LAT
     lon_a = 2 * attribution_radius_km / C.KM_PER_DEG_LON_45
     attributed = _attribute(unmatched, gaps, lat_a, lon_a, attribution_radius_km)
@@ -130,7 +130,7 @@ def eo_features(
         cond,
     ).select(F.col("b.mmsi").alias("mmsi"), F.col("p.detection_id").alias("detection_id")).distinct()
     unmatched = eo.join(matched_pairs.select("detection_id"), "detection_id", "left_anti")
-    gaps = ais_gap_intervals(ais, gap_threshold_h)
+    gaps = ais_gap_intervals(positions, gap_threshold_h)  # reuses prev_* when the caller passes lagged fixes
     dark = _attribute(unmatched, gaps, attribution_radius_deg, attribution_radius_deg, None)
     # Dark pairs come from unmatched detections and matched pairs from matched
     # ones, so the two sets are disjoint by detection id.

@@ -66,18 +66,26 @@ def build_graph(
     )
     reg_in = _edges(registered_in).unionByName(company_flags).distinct()
     empty = spark.createDataFrame([], "src_id string, dst_id string")
+    # Edge tables are read by every graph feature: persist them once.
+    keep = _persist
     return Graph(
-        vessels=vessels,
-        owned_by=_edges(owned_by),
-        managed_by=_edges(managed_by),
-        controlled_by=_edges(controlled_by),
-        registered_in=reg_in,
-        registered_at=_edges(registered_at),
-        sanctioned_by=sanctioned_by,
+        vessels=keep(vessels),
+        owned_by=keep(_edges(owned_by)),
+        managed_by=keep(_edges(managed_by)),
+        controlled_by=keep(_edges(controlled_by)),
+        registered_in=keep(reg_in),
+        registered_at=keep(_edges(registered_at)),
+        sanctioned_by=keep(sanctioned_by),
         alias=empty,
     )
 
 
+def _persist(df: DataFrame) -> DataFrame:
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _per_vessel(g: Graph, df: DataFrame, col: str, default) -> DataFrame:
     """Left-join a per-vessel result onto all vessel nodes with a default."""
     return g.vessels.select("mmsi").join(df, "mmsi", "left").select(

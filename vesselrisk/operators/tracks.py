@@ -68,13 +68,31 @@ def with_previous(
     return out
 
 
+def lagged_fixes(positions: DataFrame) -> DataFrame:
+    """Positions with prev_timestamp / prev_lat / prev_lon; a frame that already has them is reused.
+
+    Track operators accept either raw positions or this frame, so a caller
+    computing several features shuffles the positions once (see ``ais_features``).
+    """
+    if "prev_timestamp" in positions.columns and "prev_lat" in positions.columns:
+        return positions
+    return with_previous(positions.select("mmsi", "timestamp", "lat", "lon"))
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Persist a frame that several branches of one job read (memory, spilling to disk)."""
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _gap_minutes(ts: str = "timestamp") -> Column:
     return F.floor((F.unix_micros(F.col(ts)) - F.unix_micros(F.col(f"prev_{ts}"))) / F.lit(US_PER_MIN)).cast("long")
 
 
 def gap_rows(positions: DataFrame, gap_threshold_h: float = C.GAP_THRESHOLD_H) -> DataFrame:
     """Fixes that end a gap longer than the threshold (truncated whole minutes)."""
-    p = with_previous(positions.select("mmsi", "timestamp", "lat", "lon"))
+    p = lagged_fixes(positions)
     return (
         p.withColumn("gap_min", _gap_minutes())
         .where(F.col("gap_min") > F.lit(gap_threshold_h * 60))
@@ -91,7 +109,7 @@ def gap_features(positions: DataFrame, gap_threshold_h: float = C.GAP_THRESHOLD_
 
 def position_jumps(positions: DataFrame, speed_knots: float = C.JUMP_SPEED_KNOTS) -> DataFrame:
     """count of fixes implying > ``speed_knots`` from the previous fix within (0, 1] h."""
-    p = with_previous(positions.select("mmsi", "timestamp", "lat", "lon"))
+    p = lagged_fixes(positions)
     delta_h = (F.unix_micros("timestamp") - F.unix_micros("prev_timestamp")) / F.lit(1_000_000) / F.lit(3600.0)
     knots = geo.haversine_km("lat", "lon", "prev_lat", "prev_lon") / C.KM_PER_NM / F.col("delta_h")
     return (
@@ -217,7 +235,7 @@ def pre_gap_regularity(
     whose both ends lie in it, so fixes carry their precomputed lag and the
     range match is an equi-join on (mmsi, hour bucket) plus the range predicate.
     """
-    fixes = with_previous(positions.select("mmsi", "timestamp"), cols=("timestamp",))
+    fixes = lagged_fixes(positions)
     fixes = fixes.select(
         "mmsi",
         F.unix_micros("timestamp").alias("t_us"),
@@ -264,21 +282,22 @@ AIS_FEATURE_DEFAULTS = {
 
 
 def ais_features(positions: DataFrame, gap_threshold_h: float = C.GAP_THRESHOLD_H,
-                 deep_cells: DataFrame | None = None) -> DataFrame:
+                 deep_cells: DataFrame | None = None, lagged: DataFrame | None = None) -> DataFrame:
     """F8: one row per vessel seen in the window, all track features with defaults.
 
     The families are stacked with ``unionByName`` and folded with one
     ``groupBy(mmsi)`` (one shuffle) instead of a chain of left joins.
     """
+    lagged = lagged if lagged is not None else lagged_fixes(positions)
     parts = [
         positions.select("mmsi").distinct(),
-        gap_features(positions, gap_threshold_h),
-        position_jumps(positions),
+        gap_features(lagged, gap_threshold_h),
+        position_jumps(lagged),
         sts_candidates(positions, deep_cells),
         loitering(positions),
         port_call_ratio(positions),
-        chokepoint_exit_gaps(positions, gap_threshold_h),
-        pre_gap_regularity(positions, gap_threshold_h),
+        chokepoint_exit_gaps(lagged, gap_threshold_h),
+        pre_gap_regularity(lagged, gap_threshold_h),
     ]
     return fold_by_key(parts, AIS_FEATURE_DEFAULTS)
 

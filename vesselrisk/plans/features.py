@@ -73,14 +73,17 @@ def build_feature_matrix(
     fallback, the program count and the STS degree are applied after the
     merge so vessels absent from the registry are covered too.
     """
-    win = tracks.position_window(positions, as_of, window_days)
-    parts = [tracks.ais_features(win, deep_cells=deep_cells)]
+    # The windowed positions and their lagged form feed every track and fusion
+    # feature: shuffle once, persist, and let each family read the same frame.
+    win = tracks.reuse(tracks.position_window(positions, as_of, window_days))
+    lagged = tracks.reuse(tracks.lagged_fixes(win))
+    parts = [tracks.ais_features(win, deep_cells=deep_cells, lagged=lagged)]
     parts.append(identity.trade_mismatch(vessel_meta, trade_flow))
     parts.append(identity.imo_mismatch(vessel_meta, vessel_ref, as_of))
     if sar is not None:
-        parts.append(fusion.unmatched_sar_detections(sar, win))
+        parts.append(fusion.unmatched_sar_detections(sar, lagged))
     if eo is not None and not skip_eo:
-        parts.append(fusion.eo_features(eo, win))
+        parts.append(fusion.eo_features(eo, lagged))
     g = None
     if not skip_graph:
         g = graph.build_graph(vessel_meta, sanctions_entities, owned_by, managed_by, controlled_by,
