@@ -111,3 +111,20 @@ CORRIDORS = (
 
 # Default "now" for the driver fixtures (events span 2024-01-01 .. 2024-01-30).
 FIXTURE_AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
+
+# FIXED VALUES: sanction regimes (key, label, list-source substring, flag filter,
+# announcement dates). The substring is kept for reference only: treatment groups
+# do not depend on the regime.
+SANCTION_REGIMES = (
+    ("OFAC_Iran", "OFAC Iran", "us_ofac_sdn", ("IR", ""), ("2012-03-15", "2019-05-08", "2020-01-10")),
+    ("OFAC_Russia", "OFAC Russia", "us_ofac_sdn", ("RU", ""), ("2022-02-24", "2022-09-15", "2023-02-24")),
+    ("UN_DPRK", "UN DPRK", "un_sc_sanctions", ("KP", ""), ("2017-08-05", "2017-09-11", "2017-12-22")),
+)
+DID_Z95 = 1.959964
+UNKNOWN_RECENT_DAYS = 30
+UNKNOWN_BASELINE_DAYS = 90
+UNKNOWN_UPLIFT = 1.5
+UNKNOWN_MIN_STS = 3
+UNKNOWN_MIN_FLAG_CHANGES = 2
+REWIND_STS_STATUSES = (0, 1, 3)
+REWIND_LOW_SOG = 2.0
