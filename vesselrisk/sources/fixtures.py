@@ -40,8 +40,8 @@ def _imo_of(key: Column) -> Column:
     return (F.lit(9000000) + key).cast("string")
 
 
-def ais_positions(spark: SparkSession, base: str) -> DataFrame:
-    ev = read_table(spark, base, "events")
+def positions_from_events(ev: DataFrame) -> DataFrame:
+    """Row-wise mapping events -> positions (works on a batch or a streaming frame)."""
     k = F.get_json_object("props", "$.k").cast("int")
     return ev.select(
         _mmsi_of(F.col("user_id")).alias("mmsi"),
@@ -58,6 +58,10 @@ def ais_positions(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def ais_positions(spark: SparkSession, base: str) -> DataFrame:
+    return positions_from_events(read_table(spark, base, "events"))
+
+
 def vessel_meta(spark: SparkSession, base: str) -> DataFrame:
     c = read_table(spark, base, "customer")
     return c.select(
