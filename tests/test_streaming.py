@@ -1,6 +1,7 @@
 """Streaming gap alerts keep per-vessel state across micro-batches; late fixes never re-alert."""
 
 import datetime as dt
+import os
 
 from vesselrisk.streaming import positions as S
 
@@ -18,7 +19,9 @@ def test_gap_alerts_across_batches(spark, tmp_path):
     land = tmp_path / "land"
     land.mkdir()
     for i, f in enumerate(files):
-        (land / f"part-{i}.parquet").write_bytes(f.read_bytes())
+        dst = land / f"part-{i}.parquet"
+        dst.write_bytes(f.read_bytes())
+        os.utime(dst, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))  # arrival order
     stream = spark.readStream.schema("mmsi string, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(str(land))
     out = str(tmp_path / "alerts")
     q = S.run_gap_alerts(stream, out, str(tmp_path / "ckpt"))
