@@ -128,3 +128,20 @@ UNKNOWN_MIN_STS = 3
 UNKNOWN_MIN_FLAG_CHANGES = 2
 REWIND_STS_STATUSES = (0, 1, 3)
 REWIND_LOW_SOG = 2.0
+
+# FIXED VALUES: landing regions (name, lat_min, lon_min, lat_max, lon_max), first match wins.
+REGIONS = (
+    ("singapore", -5, 92, 22, 122),
+    ("japansea", 25, 115, 48, 145),
+    ("blacksea", 40, 27, 48, 42),
+    ("europe", 35, -10, 65, 30),
+    ("middleeast", 10, 32, 32, 62),
+    ("persiangulf", 20, 48, 30, 65),
+    ("gulfofguinea", -5, -5, 10, 10),
+    ("gulfofaden", 10, 42, 16, 52),
+    ("gulfofmexico", 18, -98, 31, -80),
+    ("hornofafrica", -5, 40, 15, 55),
+)
+ACTIVE_REGIONS = ("japansea", "singapore", "europe", "blacksea", "middleeast", "gulfofguinea")
+MIN_ACTIVE_REGIONS = 6
+DQ_STALE_HOURS = 48
