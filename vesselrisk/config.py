@@ -145,3 +145,11 @@ REGIONS = (
 ACTIVE_REGIONS = ("japansea", "singapore", "europe", "blacksea", "middleeast", "gulfofguinea")
 MIN_ACTIVE_REGIONS = 6
 DQ_STALE_HOURS = 48
+
+# FIXED VALUES: news context (X1) and BM25 parameters of the full-text index.
+NEWS_RESULTS = 3
+NEWS_CANDIDATE_FACTOR = 3
+NEWS_NAME_TOKENS = 2
+NEWS_MIN_TOKEN_LEN = 3
+BM25_K1 = 1.2
+BM25_B = 0.75

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import causal_queries, eval_queries, fusion_queries, graph_queries, monitor_queries, quality_queries, score_queries, stream_queries, track_queries  # noqa: F401
+from . import causal_queries, eval_queries, fusion_queries, graph_queries, monitor_queries, news_queries, quality_queries, score_queries, stream_queries, track_queries  # noqa: F401
 
 FLAGSHIP = "watchlist"
