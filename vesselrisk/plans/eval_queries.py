@@ -132,3 +132,27 @@ FROM (SELECT b.window_id, CASE WHEN labeled_count > 0 THEN COALESCE(h50, 0) / le
 )
 def q_backtest_summary(spark, base):
     return finish(E.metric_ci(E.topk_metrics(ranked(spark, base)), "precision_at_50"))
+
+
+def _metric_gate_sql() -> str:
+    from .registry import ORACLE
+
+    return eval_sql("""SELECT 'precision_at_50' AS metric, round(p50, 4) AS value, 0.25 AS floor,
+    CASE WHEN allpos THEN NULL ELSE 0.95 END AS ceiling, false AS skipped,
+    p50 IS NOT NULL AND p50 >= 0.25 AND (allpos OR p50 <= 0.95) AS passed FROM s
+  UNION ALL SELECT 'auroc', round(auc, 4), 0.65, 0.99, auc IS NULL OR allpos,
+    (auc IS NULL OR allpos) OR (auc >= 0.65 AND auc <= 0.99) FROM s, a
+  UNION ALL SELECT 'recall_at_200', round(r200, 4), 0.5, NULL, false, r200 IS NOT NULL AND r200 >= 0.5 FROM s
+  UNION ALL SELECT 'total_known_cases', tkc, 5.0, 500.0, false, tkc IS NOT NULL AND tkc >= 5 AND tkc <= 500 FROM s
+  UNION ALL SELECT 'false_negatives', CAST(n AS DOUBLE), NULL, 0.0, false, n = 0 FROM f""",
+        ("pr", ORACLE["precision_recall"]), ("au", ORACLE["auroc_ap"]), ("bf", ORACLE["best_f1"]),
+        ("s", """SELECT avg(precision_at_50) AS p50, avg(recall_at_200) AS r200, CAST(sum(positive_count) AS DOUBLE) AS tkc,
+                 bool_and(labeled_count = 0 OR labeled_count = positive_count) AS allpos FROM pr"""),
+        ("a", "SELECT avg(auroc) AS auc FROM au"),
+        ("f", """SELECT count(*) AS n FROM r LEFT JOIN bf ON bf.window_id = r.window_id
+                 WHERE y_true = 1 AND confidence < COALESCE(recommended_threshold, 0.7) AND confidence < 0.1"""))
+
+
+@register("metric_gate", _metric_gate_sql())
+def q_metric_gate(spark, base):
+    return finish(E.metric_gate(ranked(spark, base)), 4)

@@ -151,3 +151,55 @@ def metric_ci(per_window: DataFrame, metric: str) -> DataFrame:
         F.when(F.count(metric) > 1, F.avg(metric) - 1.96 * F.stddev_samp(metric) / F.sqrt(F.count(metric))).alias("ci95_low"),
         F.when(F.count(metric) > 1, F.avg(metric) + 1.96 * F.stddev_samp(metric) / F.sqrt(F.count(metric))).alias("ci95_high"),
     ).withColumn("metric", F.lit(metric))
+
+
+# FIXED VALUES: regression gate (metric, floor, ceiling) and the near-zero false-negative cut.
+GATE_THRESHOLDS = (
+    ("precision_at_50", 0.25, 0.95),
+    ("auroc", 0.65, 0.99),
+    ("recall_at_200", 0.50, None),
+    ("total_known_cases", 5, 500),
+)
+NEAR_ZERO_CONFIDENCE = 0.10
+DEFAULT_ERROR_THRESHOLD = 0.7
+
+
+def metric_gate(ranked: DataFrame, group: str = "window_id") -> DataFrame:
+    """floor/ceiling checks on mean per-window metrics plus near-zero false negatives.
+
+    When every labelled row is positive, the P@50 ceiling and AUROC are not
+    checked (AUROC is also skipped when undefined). One row per check.
+    """
+    tk = topk_metrics(ranked)
+    auc = auroc_ap(ranked, group).select(group, "auroc")
+    thr = best_f1_threshold(ranked, group)
+    fn = (
+        ranked.where(F.col("y_true") == 1).join(thr, group, "left")
+        .where(F.col("confidence") < F.coalesce("recommended_threshold", F.lit(DEFAULT_ERROR_THRESHOLD)))
+        .where(F.col("confidence") < NEAR_ZERO_CONFIDENCE)
+        .agg(F.count(F.lit(1)).alias("false_negatives"))
+    )
+    summ = tk.agg(
+        F.avg("precision_at_50").alias("precision_at_50"), F.avg("recall_at_200").alias("recall_at_200"),
+        F.sum("positive_count").cast("double").alias("total_known_cases"),
+        F.bool_and((F.col("labeled_count") == 0) | (F.col("labeled_count") == F.col("positive_count"))).alias("all_pos"),
+    )
+    a = auc.agg(F.avg("auroc").alias("auroc"))
+    # The gate reads a handful of scalars (one aggregate row each) back to the driver.
+    row = summ.first()
+    vals = {"precision_at_50": row["precision_at_50"], "recall_at_200": row["recall_at_200"],
+            "total_known_cases": row["total_known_cases"], "auroc": a.first()["auroc"]}
+    all_pos = bool(row["all_pos"])
+    checks = []
+    for metric, lo, hi in GATE_THRESHOLDS:
+        v = vals[metric]
+        skip = (metric == "auroc" and (v is None or all_pos))
+        ceil = None if (metric == "precision_at_50" and all_pos) else hi
+        ok = skip or (v is not None and (lo is None or v >= lo) and (ceil is None or v <= ceil))
+        checks.append((metric, None if v is None else float(v), float(lo) if lo is not None else None,
+                       float(ceil) if ceil is not None else None, skip, bool(ok)))
+    n_fn = fn.first()["false_negatives"]
+    checks.append(("false_negatives", float(n_fn), None, 0.0, False, n_fn == 0))
+    spark = ranked.sparkSession
+    return spark.createDataFrame(checks, "metric string, value double, floor double, ceiling double, "
+                                         "skipped boolean, passed boolean")
