@@ -156,3 +156,16 @@ def _metric_gate_sql() -> str:
 @register("metric_gate", _metric_gate_sql())
 def q_metric_gate(spark, base):
     return finish(E.metric_gate(ranked(spark, base)), 4)
+
+
+@register("review_tiers", with_views("vessel_reviews", extra=[
+    ("lr", """SELECT mmsi, max({'t': reviewed_at, 'tier': lower(trim(review_tier))}) AS l
+              FROM vessel_reviews WHERE reviewed_at <= TIMESTAMP '2024-01-31 00:00:00' GROUP BY mmsi"""),
+]) + """SELECT l.tier AS review_tier, CAST(count(*) AS BIGINT) AS n,
+  CAST(CASE WHEN l.tier IN ('confirmed', 'probable', 'suspect') THEN 1 WHEN l.tier = 'cleared' THEN 0 END AS DOUBLE) AS y_true
+FROM lr GROUP BY ALL""")
+def q_review_tiers(spark, base):
+    from .. import config as C
+
+    out = E.review_tier_counts(E.latest_reviews(Fixtures(spark, base).vessel_reviews, C.FIXTURE_AS_OF))
+    return finish(out.withColumn("y_true", F.col("y_true").cast("double")))

@@ -203,3 +203,30 @@ def metric_gate(ranked: DataFrame, group: str = "window_id") -> DataFrame:
     spark = ranked.sparkSession
     return spark.createDataFrame(checks, "metric string, value double, floor double, ceiling double, "
                                          "skipped boolean, passed boolean")
+
+
+# FIXED VALUES: review tiers that count as positive / negative labels.
+REVIEW_POSITIVE = ("confirmed", "probable", "suspect")
+REVIEW_NEGATIVE = ("cleared",)
+
+
+def latest_reviews(reviews: DataFrame, as_of) -> DataFrame:
+    """W4 for E13: each vessel's latest review at or before ``as_of`` (ties -> larger tier), with its label.
+
+    Expressed as a partial aggregation (max of a (time, tier) struct), so a
+    vessel with many reviews never needs a sorted window.
+    """
+    r = reviews.where(F.col("reviewed_at") <= F.lit(as_of).cast("timestamp")).select(
+        F.trim(F.col("mmsi").cast("string")).alias("mmsi"), "reviewed_at",
+        F.lower(F.trim("review_tier")).alias("review_tier"))
+    last = r.groupBy("mmsi").agg(F.max(F.struct("reviewed_at", "review_tier")).alias("l"))
+    tier = F.col("l.review_tier")
+    return last.select(
+        "mmsi", F.col("l.reviewed_at").alias("reviewed_at"), tier.alias("review_tier"),
+        F.when(tier.isin(*REVIEW_POSITIVE), F.lit(1)).when(tier.isin(*REVIEW_NEGATIVE), F.lit(0)).alias("y_true"))
+
+
+def review_tier_counts(latest: DataFrame) -> DataFrame:
+    """E13 tier counts over the latest reviews."""
+    return latest.groupBy("review_tier").agg(F.count(F.lit(1)).alias("n"),
+                                             F.first("y_true").alias("y_true"))
