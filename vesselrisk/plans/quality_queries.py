@@ -115,3 +115,18 @@ def q_upsert_ref(spark, base):
     out = sinks.upsert(new, fx.equasis_vessel_ref, "imo", overwrite=("scrapped",))
     return finish(out.withColumn("vessel_type", F.col("vessel_type").cast("double"))
                   .withColumn("build_year", F.col("build_year").cast("double")))
+
+
+# Required vs optional outputs of the batch pipeline, as landed views.
+_STEPS = (("ais_positions", True), ("vessel_meta", True), ("sanctions_entities", True), ("detections", False),
+          ("owned_by", False), ("managed_by", False), ("trade_flow", False), ("equasis_vessel_ref", False),
+          ("vessel_reviews", False))
+
+
+@register("dq_steps", with_views(*[s for s, _ in _STEPS]) + " UNION ALL ".join(
+    f"SELECT '{s}' AS step, CAST(count(*) AS BIGINT) AS rows, {str(r).lower()} AS required, "
+    f"CASE WHEN count(*) > 0 THEN 'ok' WHEN {str(r).lower()} THEN 'fail' ELSE 'warn' END AS status FROM {s}"
+    for s, r in _STEPS))
+def q_dq_steps(spark, base):
+    fx = Fixtures(spark, base)
+    return quality.step_checks({s: (getattr(fx, s), r) for s, r in _STEPS})
