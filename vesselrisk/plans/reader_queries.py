@@ -44,3 +44,22 @@ def q_ftm_flatten(spark, base):
         F.split("list_source", ";").alias("datasets"), props.alias("properties"),
     )).alias("value")).write.text(path)
     return readers.read_ftm_entities(spark, path)
+
+
+@register("registry_csv", with_views("equasis_vessel_ref") + """SELECT imo,
+  CAST(CASE WHEN vessel_type = 0 THEN NULL ELSE vessel_type END AS DOUBLE) AS vessel_type, CAST(build_year AS DOUBLE) AS build_year,
+  COALESCE(scrapped, false) AS scrapped
+FROM equasis_vessel_ref
+WHERE imo IS NOT NULL AND imo <> '' AND (vessel_type <> 0 OR build_year IS NOT NULL OR scrapped)""")
+def q_registry_csv(spark, base):
+    """The reference table written as a registry CSV (type 0 left blank, scrapped as yes/no), then read."""
+    path = scratch_path(spark, "registry-csv")
+    ref = Fixtures(spark, base).equasis_vessel_ref
+    ref.select(
+        "imo", F.when(F.col("vessel_type") != 0, F.col("vessel_type").cast("string")).alias("vessel_type"),
+        F.col("build_year").cast("string").alias("build_year"),
+        F.when(F.col("scrapped"), F.lit("Yes")).otherwise(F.lit("no")).alias("scrapped"),
+    ).write.option("header", True).csv(path)
+    out = readers.read_registry_csv(spark, path)
+    return finish(out.withColumn("vessel_type", F.col("vessel_type").cast("double"))
+                  .withColumn("build_year", F.col("build_year").cast("double")))
