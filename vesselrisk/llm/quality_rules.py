@@ -87,44 +87,43 @@ def char_histogram(text: Column, word_chars: Column) -> Column:
     return F.transform(F.array(upper, digits, punct, symbols, space, rest), lambda x: x / F.greatest(n, F.lit(1)))
 
 
-def common_counts(text: Column) -> Column:
-    """(word, count) of the common words of a text, and ``""`` for all others."""
-    words = F.array_remove(F.split(F.lower(text), "[^\\p{L}]+"), "")
-    common = F.filter(words, lambda w: w.isin(COMMON_WORDS))
-    counts = F.transform(F.array_distinct(common), lambda v: F.struct(v.alias("w"), F.size(F.filter(common, lambda x: x == v)).alias("c")))
-    return F.concat(counts, F.array(F.struct(F.lit("").alias("w"), (F.size(words) - F.size(common)).alias("c"))))
-
-
 def histograms(docs: DataFrame, text: str) -> DataFrame:
-    """Adds ``chars`` (array) and ``common`` ((word, share) array)."""
+    """Adds ``chars`` (array) and ``common`` ((word, share) array; ``""`` stands for all words that are not common)."""
     t = F.coalesce(F.col(text), F.lit(""))
-    counted = docs.withColumn("words", word_array(F.col(text))).withColumn("n_words", F.size("words").cast("long")).withColumn(
-        "word_chars", F.length(F.array_join("words", "")).cast("long")
-    )
-    total = F.aggregate(F.col("counts"), F.lit(0), lambda a, x: a + x["c"])
+    is_common = lambda w: w.isin(COMMON_WORDS)
+    count = F.transform("distinct", lambda v: F.struct(v.alias("w"), F.size(F.filter("hits", lambda x: x == v)).alias("c")))
+    others = F.struct(F.lit("").alias("w"), (F.col("n_letters") - F.size("hits")).alias("c"))
+    # One step a column: an expression that is used inside a lambda would be worked out for each element.
     return (
-        counted.withColumn("chars", char_histogram(t, F.col("word_chars")))
-        .withColumn("counts", common_counts(t))
-        .withColumn("total", F.greatest(total, F.lit(1)))
-        .withColumn("common", F.transform("counts", lambda x: F.struct(x["w"].alias("w"), (x["c"] / F.col("total")).alias("p"))))
+        docs.withColumn("words", word_array(F.col(text)))
+        .withColumn("n_words", F.size("words").cast("long"))
+        .withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
+        .withColumn("chars", char_histogram(t, F.col("word_chars")))
+        .withColumn("letters", F.array_remove(F.split(F.lower(t), "[^\\p{L}]+"), ""))
+        .withColumn("n_letters", F.size("letters"))
+        .withColumn("hits", F.filter("letters", is_common))
+        .withColumn("distinct", F.array_distinct("hits"))
+        .withColumn("counts", F.concat(count, F.array(others)))
+        .withColumn("common", F.transform("counts", lambda x: F.struct(x["w"].alias("w"), (x["c"] / F.greatest(F.col("n_letters"), F.lit(1))).alias("p"))))
         .withColumn("long_enough", (F.col("n_words") >= MIN_WORDS) & (F.length(t) >= MIN_CHARS))
-        .drop("counts", "total")
+        .drop("letters", "n_letters", "hits", "distinct", "counts")
     )
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per language, and one with ``whole`` for the corpus: mean histograms over its documents that are long enough."""
     each = histograms(docs.select(F.col(f"`{lang}`").alias("r_lang"), F.col(f"`{text}`").alias("text")), "text").where("long_enough")
-    means = [F.avg(F.element_at("chars", i + 1)) for i in range(N_CLASSES)]
-    chars = each.cube("r_lang").agg((F.grouping_id() == 1).alias("whole"), F.count("*").alias("n"), F.array(*means).alias("r_chars"))
-    shares = each.select("r_lang", F.explode("common").alias("x")).select("r_lang", F.lit(False).alias("whole"), "x.w", "x.p")
-    words = shares.groupBy("whole", "r_lang", "w").agg(F.sum("p").alias("p"))
-    corpus = words.groupBy("w").agg(F.sum("p").alias("p")).select(F.lit(True).alias("whole"), F.lit(None).cast("string").alias("r_lang"), "w", "p")
-    sums = words.unionByName(corpus).groupBy("whole", "r_lang").agg(F.collect_list(F.struct("w", "p")).alias("sums"))  # at most one entry per common word
-    sums = sums.withColumnsRenamed({"whole": "s_whole", "r_lang": "s_lang"})
-    share = F.map_from_entries(F.transform("sums", lambda x: F.struct(x["w"], x["p"] / F.col("n")))).alias("r_words")
-    joined = chars.join(sums, F.col("r_lang").eqNullSafe(F.col("s_lang")) & (F.col("whole") == F.col("s_whole")))
-    return joined.where(F.col("whole") | (F.col("n") >= MIN_REFERENCE)).select("r_lang", "whole", "n", "r_chars", share)
+    # One pass: words as they are, character classes as "#0", "#1" .., the documents themselves as "#n".
+    classes = F.transform("chars", lambda p, i: F.struct(F.concat(F.lit("#"), i.cast("string")).alias("w"), p.alias("p")))
+    entries = F.concat("common", classes, F.array(F.struct(F.lit("#n").alias("w"), F.lit(1.0).alias("p"))))
+    shares = each.select("r_lang", F.explode(entries).alias("x")).select("r_lang", "x.w", "x.p")
+    sums = cut_lineage(shares.groupBy("r_lang", "w").agg(F.sum("p").alias("p")).withColumn("whole", F.lit(False)))
+    corpus = sums.groupBy("w").agg(F.sum("p").alias("p")).select(F.lit(None).cast("string").alias("r_lang"), "w", "p", F.lit(True).alias("whole"))
+    means = sums.unionByName(corpus).groupBy("whole", "r_lang").agg(F.map_from_entries(F.collect_list(F.struct("w", "p"))).alias("m"))
+    n = F.element_at("m", "#n")
+    of_words = F.transform_values(F.map_filter("m", lambda w, _: ~w.startswith("#")), lambda _, p: p / n)
+    r_chars = F.array(*[F.element_at("m", f"#{i}") / n for i in range(N_CLASSES)])
+    return means.where(F.col("whole") | (n >= MIN_REFERENCE)).select("r_lang", "whole", n.alias("n"), r_chars.alias("r_chars"), of_words.alias("r_words"))
 
 
 def _js_arrays(p: Column, q: Column) -> Column:
@@ -161,11 +160,12 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFra
     counted = (
         histograms(packed, "text")
         .withColumn("windows", windows(F.col("words")))
-        .withColumn("n_repeat_words", covered(repeated_at(F.col("windows"))))
+        .withColumn("starts", repeated_at(F.col("windows")))
+        .withColumn("n_repeat_words", covered(F.col("starts")))
         .withColumn("n_symbols", symbols.cast("long"))
         .withColumn("n_dup_lines", dup_lines(t))
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-        .drop("words", "windows", "text")
+        .drop("words", "windows", "starts", "text")
     )
     joined = counted.join(F.broadcast(per_lang) if few else per_lang, F.col("lang").eqNullSafe(F.col("r_lang")), "left")
     chars, words = F.coalesce("r_chars", w_chars), F.coalesce("r_words", w_words)
