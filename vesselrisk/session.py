@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,17 +47,34 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     # Session time zone must be UTC for every timestamp operator here.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per context, so that tasks can import it from any working folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vesselrisk_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="vr-package-")) / "vesselrisk_package.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    sc._vesselrisk_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; a scratch dir only when unset (tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``; a scratch folder only when unset on a local master (tests)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="vr-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
