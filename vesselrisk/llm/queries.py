@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, sharding
+from . import decontamination, mixing, quality_rules, sharding
 from .common import read_table
 
 QUERIES: dict = {}
@@ -70,3 +70,32 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = quality_rules.judge(docs)
     return judged.select("doc_id", *quality_rules.OUTPUTS)
+
+
+OP5_SQL = r"""
+WITH iw AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item, w, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i FROM iw WHERE len(w) > 0)),
+dw AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+spots AS (SELECT r, unnest(generate_series(1, len(w))) AS i, w FROM dw),
+found AS (
+  SELECT r, i, win.n, item FROM spots, (SELECT DISTINCT n FROM win) l, win
+  WHERE win.n = l.n AND i + l.n - 1 <= len(w) AND array_to_string(w[i:i + l.n - 1], ' ') = win.s),
+hits AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS j FROM found) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hits USING (r) LEFT JOIN items USING (r)"""
+
+
+@register("op5_decontamination", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.flag(docs, read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
