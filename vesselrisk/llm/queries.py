@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, quality_rules, sharding
+from . import decontamination, mixing, quality_rules, sharding, simhash
 from .common import read_table
 
 QUERIES: dict = {}
@@ -99,3 +99,10 @@ FROM dw LEFT JOIN hits USING (r) LEFT JOIN items USING (r)"""
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.flag(docs, read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
+@register("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_dups(docs)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
