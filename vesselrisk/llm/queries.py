@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, quality_rules, sharding, simhash
+from . import decontamination, mixing, quality_rules, sharding, simhash, tokens
 from .common import read_table
 
 QUERIES: dict = {}
@@ -106,3 +106,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_dups(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op3_token_output")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.write_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
