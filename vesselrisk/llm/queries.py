@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, quality_rules, sharding, simhash, tokens
+from . import decontamination, mixing, quality_rules, sharding, simhash, suffix_dedup, tokens
 from .common import read_table
 
 QUERIES: dict = {}
@@ -118,3 +118,9 @@ def tokenizer_path() -> str:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokens.write_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
     return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup(docs).drop("kept")
