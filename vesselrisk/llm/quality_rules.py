@@ -32,7 +32,8 @@ COMMON_WORDS = (
     "de la le et les en un une du que est pour qui dans par plus pas au sur avec "
     "el y a los se del las por con no su para al lo como más pero sus una"
 ).split()
-SYMBOLS = "#*$%&|<>"
+MAX_COMMON = 7  # the longest common word and two marks
+SYMBOLS = "[#*$%&|<>]"
 N_CLASSES = 6
 MIN_WORDS = 50
 MIN_CHARS = 200
@@ -75,13 +76,15 @@ def covered(positions: Column, width: int = 3) -> Column:
     return F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def char_histogram(text: Column, word_chars: Column) -> Column:
-    """Shares of: upper case, digits, punctuation, symbols, white space, all other characters."""
-    n = F.length(text)
-    upper = F.regexp_count(text, F.lit("\\p{Lu}"))
-    digits = F.regexp_count(text, F.lit("[0-9]"))
-    punct = F.regexp_count(text, F.lit("[.,;:!?'\"()-]"))
-    symbols = F.regexp_count(text, F.lit("[#*$%&|<>@^~_=+/\\\\{}\\[\\]]"))
+def char_histogram(n: Column, word_chars: Column, rare: Column) -> Column:
+    """Shares of: upper case, digits, punctuation, symbols, white space, all other characters.
+
+    ``rare`` is the text without the runs of lower-case letters and blanks that make up most of it.
+    """
+    upper = F.regexp_count(rare, F.lit("\\p{Lu}"))
+    digits = F.regexp_count(rare, F.lit("[0-9]"))
+    punct = F.regexp_count(rare, F.lit("[.,;:!?'\"()-]"))
+    symbols = F.regexp_count(rare, F.lit("[#*$%&|<>@^~_=+/\\\\{}\\[\\]]"))
     space = n - word_chars
     rest = n - upper - digits - punct - symbols - space
     return F.transform(F.array(upper, digits, punct, symbols, space, rest), lambda x: x / F.greatest(n, F.lit(1)))
@@ -91,22 +94,22 @@ def histograms(docs: DataFrame, text: str) -> DataFrame:
     """Adds ``chars`` (array) and ``common`` ((word, share) array; ``""`` stands for all words that are not common)."""
     t = F.coalesce(F.col(text), F.lit(""))
     is_common = lambda w: w.isin(COMMON_WORDS)
+    plain = lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?")))
     count = F.transform("distinct", lambda v: F.struct(v.alias("w"), F.size(F.filter("hits", lambda x: x == v)).alias("c")))
-    others = F.struct(F.lit("").alias("w"), (F.col("n_letters") - F.size("hits")).alias("c"))
+    others = F.struct(F.lit("").alias("w"), (F.col("n_words") - F.size("hits")).cast("int").alias("c"))
     # One step a column: an expression that is used inside a lambda would be worked out for each element.
     return (
         docs.withColumn("words", word_array(F.col(text)))
         .withColumn("n_words", F.size("words").cast("long"))
         .withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
-        .withColumn("chars", char_histogram(t, F.col("word_chars")))
-        .withColumn("letters", F.array_remove(F.split(F.lower(t), "[^\\p{L}]+"), ""))
-        .withColumn("n_letters", F.size("letters"))
-        .withColumn("hits", F.filter("letters", is_common))
+        .withColumn("rare", F.regexp_replace(t, "[a-z\\u00df-\\u00ff \\n]++", ""))
+        .withColumn("chars", char_histogram(F.length(t), F.col("word_chars"), F.col("rare")))
+        .withColumn("hits", F.filter(F.transform(F.filter("words", lambda w: F.length(w) <= MAX_COMMON), plain), is_common))
         .withColumn("distinct", F.array_distinct("hits"))
         .withColumn("counts", F.concat(count, F.array(others)))
-        .withColumn("common", F.transform("counts", lambda x: F.struct(x["w"].alias("w"), (x["c"] / F.greatest(F.col("n_letters"), F.lit(1))).alias("p"))))
+        .withColumn("common", F.transform("counts", lambda x: F.struct(x["w"].alias("w"), (x["c"] / F.greatest(F.col("n_words"), F.lit(1))).alias("p"))))
         .withColumn("long_enough", (F.col("n_words") >= MIN_WORDS) & (F.length(t) >= MIN_CHARS))
-        .drop("letters", "n_letters", "hits", "distinct", "counts")
+        .drop("hits", "distinct", "counts")
     )
 
 
@@ -156,16 +159,15 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFra
     few = per_lang.count() <= BROADCAST_LANGUAGES  # a few kB a language; more are joined as any other table
     packed = docs.select(F.struct(*replaced(docs, OUTPUTS)).alias("row"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     t = F.coalesce(F.col("text"), F.lit(""))
-    symbols = F.length(t) - F.length(F.translate(t, SYMBOLS, ""))
     counted = (
         histograms(packed, "text")
         .withColumn("windows", windows(F.col("words")))
         .withColumn("starts", repeated_at(F.col("windows")))
         .withColumn("n_repeat_words", covered(F.col("starts")))
-        .withColumn("n_symbols", symbols.cast("long"))
+        .withColumn("n_symbols", F.regexp_count("rare", F.lit(SYMBOLS)).cast("long"))
         .withColumn("n_dup_lines", dup_lines(t))
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-        .drop("words", "windows", "starts", "text")
+        .drop("words", "rare", "windows", "starts", "text")
     )
     joined = counted.join(F.broadcast(per_lang) if few else per_lang, F.col("lang").eqNullSafe(F.col("r_lang")), "left")
     chars, words = F.coalesce("r_chars", w_chars), F.coalesce("r_words", w_words)
