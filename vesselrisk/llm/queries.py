@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, quality_rules, sharding, simhash, suffix_dedup, tokens
+from . import chat, decontamination, mixing, quality_rules, sharding, simhash, suffix_dedup, tokens
 from .common import read_table
 
 QUERIES: dict = {}
@@ -124,3 +124,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.dedup(docs).drop("kept")
+
+
+OP2_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(22 + length(role) + length(text)
+         + len(regexp_extract_all(role || ' ' || text, '<\\*(?:/?s>|/?SYS>>|\|[A-Za-z0-9_]+\|>)|\[\\*/?INST\]'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+
+@register("op2_chat_format", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.read_chats(spark, chat.write_chats(turns, tokenizer_path()), tokenizer_path())
