@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, mixing, quality_rules, sharding, simhash, suffix_dedup, tokens
+from . import chat, decontamination, html, mixing, quality_rules, sharding, simhash, suffix_dedup, tokens
 from .common import read_table
 
 QUERIES: dict = {}
@@ -145,3 +145,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     return chat.read_chats(spark, chat.write_chats(turns, tokenizer_path()), tokenizer_path())
+
+
+@register("op9_html_extraction")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
