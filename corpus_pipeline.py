@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vesselrisk.llm import mixing, quality_rules
+from vesselrisk.llm import decontamination, mixing, quality_rules, simhash, tokens
 from vesselrisk.llm.common import pack, read_table, shared_path, unpack
-from vesselrisk.llm.queries import SOURCE_WEIGHTS
+from vesselrisk.llm.queries import SOURCE_WEIGHTS, tokenizer_path
 from vesselrisk.session import ensure_conf
 
 
@@ -22,6 +22,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return unpack(quality_rules.judge(rows).where("kept"), docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the least id stays."""
+    rows = pack(docs).select("row", "row.doc_id", "row.text")
+    return unpack(simhash.keep_one(rows), docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a benchmark item go."""
+    rows = pack(docs).select("row", "row.text")
+    flagged = decontamination.flag(rows, read_table(spark, sf_dir, "benchmark"), keep=["row"])
+    return unpack(flagged.where(~F.col("contaminated")), docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the one at a source's cut goes in whole if that comes nearer to the target."""
     rows = pack(docs).select("row", "row.doc_id", "row.text", "row.source")
@@ -31,8 +44,20 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return unpack(repeated, docs.columns)
 
 
-STAGES = [("quality rules", quality), ("mixing", mix)]
-ORACLE_SQL = None
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each document of the mix: its place and check sum in the token files."""
+    path = tokens.write_tokens(docs.select("doc_id", "text"), tokenizer_path())
+    return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources", mix),
+    ("token-ID output", token_ids),
+]
+ORACLE_SQL = None  # fingerprints and tokens have no SQL; tests hold the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

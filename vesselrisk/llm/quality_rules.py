@@ -176,6 +176,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFra
         joined.withColumn("char_distance", F.when(F.col("long_enough"), _js_arrays(F.col("chars"), chars)))
         .withColumn("word_distance", F.when(F.col("long_enough"), _js_entries(F.col("common"), words)))
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
+        # A generator is a barrier: a filter on ``kept`` would be pushed down otherwise, into the lambdas that it is made from.
+        .select("row", F.inline(F.array(F.struct(*OUTPUTS))))
         .select("row.*", *OUTPUTS)
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html, mixing, quality_rules, sharding, simhash, suffix_dedup, tokens
+from . import chat, classifier, decontamination, html, mixing, quality_rules, sharding, simhash, suffix_dedup, tokens
 from .common import read_table
 
 QUERIES: dict = {}
@@ -150,3 +150,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_html_extraction")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@register("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = classifier.train(docs, read_table(spark, sf_dir, "labels"))
+    return classifier.score(docs, model, keep=["doc_id"])

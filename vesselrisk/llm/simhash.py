@@ -186,15 +186,24 @@ def _mask(bits: list[int]) -> int:
 
 
 def groups(prints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """(fp, component_id) for ``prints`` with ``doc_id`` and ``fp``: the least id that is reachable by links."""
+    """(fp, root, component_id) for ``prints`` with ``doc_id`` and ``fp``: the least id that is reachable by links."""
     each = cut_lineage(prints.groupBy("fp").agg(F.min(doc_id).alias("least")))
     root = components(links(each.select("fp")))
     rooted = each.join(root, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.select("fp", "root").join(ids, "root").select("fp", "component_id")
+    return rooted.select("fp", "root").join(ids, "root").select("fp", "root", "component_id")
 
 
 def near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id), a row for each document."""
     prints = cut_lineage(with_fingerprint(docs, text, [doc_id]))
     return prints.join(groups(prints, doc_id), "fp").select(doc_id, "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group: the least id, of rows with that id the first in the input (which has to be replayable)."""
+    placed = docs.withColumn("vr_at", F.monotonically_increasing_id())
+    prints = cut_lineage(with_fingerprint(placed, text, [doc_id, "vr_at"]))
+    order = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col("vr_at"))
+    kept = prints.join(groups(prints, doc_id).select("fp", "root"), "fp").groupBy("root").agg(F.min(order)["vr_at"].alias("vr_at"))
+    return placed.join(kept, "vr_at", "left_semi").drop("vr_at")
