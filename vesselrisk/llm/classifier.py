@@ -143,7 +143,7 @@ class Model:
 
 def fit(x: np.ndarray, y: np.ndarray) -> Model:
     share = float(y.mean()) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return Model(float(np.clip(np.log((share + 1e-9) / (1 - share + 1e-9)), -30, 30)))
     model = Model(float(np.log(share / (1 - share))))
     model.edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
