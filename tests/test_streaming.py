@@ -28,3 +28,19 @@ def test_gap_alerts_across_batches(spark, tmp_path):
     q.awaitTermination()
     rows = spark.read.parquet(out).collect()
     assert [(r["mmsi"], r["gap_minutes"]) for r in rows] == [("a", 660)]
+
+
+def test_rows_far_behind_are_stored_once(spark, tmp_path):
+    land, table = tmp_path / "land", str(tmp_path / "table")
+    land.mkdir()
+    t0 = dt.datetime(2024, 1, 10)
+    schema = "mmsi string, timestamp timestamp, lat double, lon double"
+    days = [[("a", t0)], [("b", t0 + dt.timedelta(days=5)), ("a", t0)], [("c", t0 - dt.timedelta(days=3)), ("b", t0 + dt.timedelta(days=5))]]
+    for i, rows in enumerate(days):
+        spark.createDataFrame([(*r, 1.0, 2.0) for r in rows], schema).coalesce(1).write.parquet(str(tmp_path / f"b{i}"))
+        part = next((tmp_path / f"b{i}").glob("*.parquet"))
+        (land / f"part-{i}.parquet").write_bytes(part.read_bytes())
+        os.utime(land / f"part-{i}.parquet", (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(land))
+    S.ingest_positions(stream, table, str(tmp_path / "ckpt")).awaitTermination()
+    assert sorted(r["mmsi"] for r in spark.read.parquet(table).collect()) == ["a", "b", "c"]

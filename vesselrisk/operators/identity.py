@@ -57,8 +57,8 @@ def trade_mismatch(
 
     Tankers flagged to a sanctioned exporter: mismatch 1.0 when the reporter
     has no trade with that flag, else 0.0 with value = trade / vessels with
-    that flag. Flag and partner tables are bounded by the list of flag states,
-    so they are broadcast.
+    that flag. Flags are free text, so the joins carry no hint; adaptive
+    execution broadcasts the two tables when they turn out small.
     """
     vm = vessel_meta.where(F.col("mmsi").isNotNull()).select(
         "mmsi", F.coalesce("flag", F.lit("")).alias("flag"), F.coalesce("ship_type", F.lit(0)).alias("ship_type")
@@ -68,7 +68,7 @@ def trade_mismatch(
         .groupBy(F.col("partner").alias("flag")).agg(F.sum("trade_value_usd").alias("total_usd"))
     )
     counts = vm.groupBy("flag").agg(F.count(F.lit(1)).alias("vessel_count"))
-    j = vm.join(F.broadcast(counts), "flag", "left").join(F.broadcast(trade), "flag", "left")
+    j = vm.join(counts, "flag", "left").join(trade, "flag", "left")
     hit = F.col("ship_type").isin(*C.TANKER_TYPES) & F.col("flag").isin(*C.SANCTIONED_EXPORTERS)
     tv = F.coalesce("total_usd", F.lit(0.0))
     return j.select(

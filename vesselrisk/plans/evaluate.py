@@ -19,21 +19,24 @@ DEFAULT_CAPACITIES = (50, 100, 200)
 
 
 def label_watchlist(watchlist: DataFrame, labels: DataFrame) -> DataFrame:
-    """y_true by mmsi first, then imo; positive labels win over negative ones.
+    """y_true by mmsi or imo; a positive label on either key wins over a negative one.
 
-    Two equi-joins (never an OR join) folded with coalesce.
+    ``label_confidence`` (where the labels have one) comes from the mmsi match, else from
+    the imo match. Two equi-joins (never an OR join), folded per row.
     """
+    conf = F.col("label_confidence") if "label_confidence" in labels.columns else F.lit(None)
     lab = labels.select(
         F.coalesce(F.trim("mmsi"), F.lit("")).alias("l_mmsi"), F.coalesce(F.trim("imo"), F.lit("")).alias("l_imo"),
         F.when(F.lower(F.trim("label")).isin(*POSITIVE_LABELS), 1)
-        .when(F.lower(F.trim("label")).isin(*NEGATIVE_LABELS), 0).alias("y"))
+        .when(F.lower(F.trim("label")).isin(*NEGATIVE_LABELS), 0).alias("y"), conf.cast("string").alias("c"))
     lab = lab.where(F.col("y").isNotNull())
-    by_mmsi = lab.where(F.col("l_mmsi") != "").groupBy("l_mmsi").agg(F.max("y").alias("y_m"))
-    by_imo = lab.where(F.col("l_imo") != "").groupBy("l_imo").agg(F.max("y").alias("y_i"))
+    by_mmsi = lab.where(F.col("l_mmsi") != "").groupBy("l_mmsi").agg(F.max("y").alias("y_m"), F.max_by("c", F.struct("y", "c")).alias("c_m"))
+    by_imo = lab.where(F.col("l_imo") != "").groupBy("l_imo").agg(F.max("y").alias("y_i"), F.max_by("c", F.struct("y", "c")).alias("c_i"))
     w = watchlist.withColumn("_imo", F.coalesce(F.trim(F.col("imo")), F.lit("")))
     j = (w.join(by_mmsi, w.mmsi == by_mmsi.l_mmsi, "left")
          .join(by_imo, (F.col("_imo") != "") & (F.col("_imo") == by_imo.l_imo), "left"))
-    return j.withColumn("y_true", F.coalesce("y_m", "y_i")).drop("l_mmsi", "l_imo", "y_m", "y_i", "_imo")
+    return (j.withColumn("y_true", F.greatest("y_m", "y_i")).withColumn("label_confidence", F.coalesce("c_m", "c_i"))
+            .drop("l_mmsi", "l_imo", "y_m", "y_i", "c_m", "c_i", "_imo"))
 
 
 def _order() -> list[Column]:

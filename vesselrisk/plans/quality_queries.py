@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -14,19 +16,37 @@ from .registry import finish, register
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
-REGION_SQL = "CASE " + " ".join(
-    f"WHEN lat BETWEEN {la0} AND {la1} AND lon BETWEEN {lo0} AND {lo1} THEN '{n}'"
-    for n, la0, lo0, la1, lo1 in C.REGIONS) + " END"
+# Landed partitions: the region goes by the payload value k; some payload values stand for faulty receivers,
+# whose rows have no latitude, an impossible one, no mmsi, or come twice.
+_NAMES = [r[0] for r in C.REGIONS]
+_REGION_LIST = ", ".join(f"'{n}'" for n in _NAMES)
+LANDED_SQL = f"""SELECT [{_REGION_LIST}][1 + CAST(round(cog / 3.6) AS BIGINT) % {len(_NAMES)}] AS region, CAST(timestamp AS DATE) AS date,
+    CASE WHEN round(cog / 3.6) = 17 THEN NULL ELSE mmsi END AS mmsi, timestamp,
+    CASE round(cog / 3.6) WHEN 13 THEN NULL WHEN 31 THEN CAST(95.0 AS DOUBLE) ELSE lat END AS lat, lon
+  FROM ais_positions, (SELECT unnest([1, 2]) AS copy) c WHERE copy = 1 OR round(cog / 3.6) = 22"""
+
+
+def _landed(spark, base):
+    pos = Fixtures(spark, base).ais_positions
+    k = F.round(F.col("cog") / 3.6)
+    names = F.array(*[F.lit(n) for n in _NAMES])
+    copies = F.explode(F.when(k == 22, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return pos.select(
+        F.element_at(names, (k.cast("int") % len(_NAMES)) + 1).alias("region"),
+        F.when(k == 17, F.lit(None)).otherwise(F.col("mmsi")).alias("mmsi"), "timestamp",
+        F.when(k == 13, F.lit(None)).when(k == 31, F.lit(95.0)).otherwise(F.col("lat")).alias("lat"), "lon", copies.alias("copy"),
+    )
+
 
 DQ_CTES = [
-    ("rp", f"SELECT {REGION_SQL} AS region, CAST(timestamp AS DATE) AS date, mmsi, timestamp, lat, lon FROM ais_positions"),
+    ("rp", LANDED_SQL),
     ("rk", """SELECT region, date, mmsi, timestamp, count(*) AS n,
         count(*) FILTER (WHERE lat < -90 OR lat > 90 OR lon < -180 OR lon > 180) AS bad,
         count(*) FILTER (WHERE lat IS NULL) + count(*) FILTER (WHERE lon IS NULL) AS cn
-      FROM rp WHERE region IS NOT NULL GROUP BY ALL"""),
+      FROM rp GROUP BY ALL"""),
     ("pc", f"""SELECT region, date, sum(n) AS row_count, sum(CASE WHEN mmsi IS NULL THEN n ELSE 0 END) AS mn, sum(bad) AS bad,
         sum(cn) AS cn, sum(CASE WHEN timestamp < {AS_OF} - INTERVAL 48 HOUR THEN n ELSE 0 END) AS stale, count(*) AS dk,
-        date = (SELECT max(date) FROM rp WHERE region IS NOT NULL) AS is_recent
+        date = (SELECT max(date) FROM rp) AS is_recent
       FROM rk GROUP BY region, date"""),
     ("checks", """SELECT region, date, CAST(row_count AS BIGINT) AS row_count, CAST(mn AS BIGINT) AS mmsi_null_count,
         CAST(bad AS BIGINT) AS out_of_range, round(cn / (2.0 * row_count), 4) AS coord_null_rate,
@@ -39,7 +59,7 @@ DQ_CTES = [
 
 
 def _checks(spark, base):
-    return quality.partition_checks(Fixtures(spark, base).ais_positions)
+    return quality.partition_checks(_landed(spark, base))
 
 
 def _date_str(df):
@@ -52,20 +72,22 @@ def q_dq_partition(spark, base):
     return finish(_date_str(_checks(spark, base)), 4)
 
 
-_REGION_LIST = ", ".join(f"'{r[0]}'" for r in C.REGIONS)
+# The day after the last fix has no partition and must fail.
+DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 _ACTIVE_LIST = ", ".join(f"'{r}'" for r in C.ACTIVE_REGIONS)
 
 
 @register("dq_coverage", with_views("ais_positions", extra=[
     *DQ_CTES,
-    ("scaf", f"SELECT d.date, unnest([{_REGION_LIST}]) AS region FROM (SELECT DISTINCT date FROM checks) d"),
+    ("scaf", f"""SELECT CAST(d AS DATE) AS date, unnest([{_REGION_LIST}]) AS region
+      FROM (SELECT unnest(generate_series(DATE '{DAYS[0]}', DATE '{DAYS[1]}', INTERVAL 1 DAY)) AS d)"""),
 ]) + f"""SELECT strftime(s.date, '%Y-%m-%d') AS date,
   CAST(count(*) FILTER (WHERE s.region IN ({_ACTIVE_LIST}) AND COALESCE(c.passed, false)) AS BIGINT) AS active_passing,
   CAST(count(*) FILTER (WHERE COALESCE(c.passed, false)) AS BIGINT) AS regions_passing,
   count(*) FILTER (WHERE s.region IN ({_ACTIVE_LIST}) AND COALESCE(c.passed, false)) >= {C.MIN_ACTIVE_REGIONS} AS passed
 FROM scaf s LEFT JOIN checks c ON c.region = s.region AND c.date = s.date GROUP BY s.date""")
 def q_dq_coverage(spark, base):
-    return finish(_date_str(quality.coverage(_checks(spark, base))))
+    return finish(_date_str(quality.coverage(_checks(spark, base), *DAYS)))
 
 
 @register("dq_contract", with_views("ranked_items") + """SELECT * FROM (VALUES
@@ -84,9 +106,9 @@ FROM ais_positions GROUP BY 1""")
 def q_date_export(spark, base):
     path = scratch_path(spark, "export")
     pos = Fixtures(spark, base).ais_positions.drop("event_id")
-    sinks.export_by_date(pos, path)
-    # A second export finds every date present and writes nothing.
-    return finish(_date_str(sinks.export_by_date(pos, path)))
+    first = sinks.export_by_date(pos, path)
+    # A second export finds every date present and adds no counts.
+    return finish(_date_str(first.unionByName(sinks.export_by_date(pos, path))))
 
 
 @register("insert_ignore", with_views("ais_positions") + """SELECT CAST(count(*) AS BIGINT) AS first_inserted,

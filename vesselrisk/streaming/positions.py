@@ -1,11 +1,10 @@
 """Continuous position ingest and gap alerts on Structured Streaming.
 
-* ``ingest_positions`` (ST1-ST3): bbox filter, watermark-bounded dedup on
-  (mmsi, timestamp), then an insert-or-ignore ``foreachBatch`` into a
-  date-partitioned Parquet table. The anti-join against the table is keyed on
-  (date, mmsi, timestamp), so only the date partitions present in the batch are
-  read (dynamic partition pruning), whatever the table size. Rows later than
-  the watermark are not lost: the anti-join still catches their duplicates.
+* ``ingest_positions`` (ST1-ST3): bbox filter, then an insert-or-ignore
+  ``foreachBatch`` into a date-partitioned Parquet table. There is no watermark
+  and no dedup state: rows may come at any time later and are stored once.
+  Duplicates are found within the micro-batch and by an anti-join that reads
+  only the table's partitions of the dates that the batch holds.
 * ``gap_alerts`` (ST4): per-vessel state (last fix time) with
   ``applyInPandasWithState``; an alert is emitted for every fix arriving more
   than ``threshold`` after the vessel's previous fix. A group holds at most one
@@ -14,7 +13,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
 
@@ -28,6 +26,7 @@ from .. import config as C
 from ..functions.geo import in_bbox
 from ..session import checkpoint_dir
 from ..sources.fixtures import positions_from_events
+from ..sources.sinks import insert_or_ignore
 
 EVENT_SCHEMA = "event_id long, user_id long, event_type string, ts timestamp_ntz, value double, props string"
 
@@ -36,7 +35,9 @@ def event_stream(spark: SparkSession, base: str, max_files_per_trigger: int = 64
     """Landed ``events`` files as a stream (a directory of parts, or one file in ``base``)."""
     path = f"{base.rstrip('/')}/events.parquet"
     reader = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-    if os.path.isdir(path) or "://" in path:
+    # The file system that the path belongs to decides, not the driver's disk.
+    landed = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if landed.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(landed).isDirectory():
         return reader.parquet(path)
     return reader.option("pathGlobFilter", "events.parquet").parquet(base)
 
@@ -50,32 +51,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _insert_or_ignore(table_path: str):
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates(["mmsi", "timestamp"]).withColumn("date", F.to_date("timestamp"))
-        try:
-            existing = spark.read.parquet(table_path).select("date", "mmsi", "timestamp")
-            new = new.join(existing, ["date", "mmsi", "timestamp"], "left_anti")
-        except Exception as e:  # noqa: BLE001 - first batch: table not created yet
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) \
-                    and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        new.write.mode("append").partitionBy("date").parquet(table_path)
-
-    return write
-
-
 def ingest_positions(positions: DataFrame, table_path: str, checkpoint: str, bbox=None,
-                     watermark: str = "24 hours", available_now: bool = True,
-                     interval: str = "60 seconds"):
-    """ST1-ST3: start the ingest query; returns the StreamingQuery."""
+                     available_now: bool = True, interval: str = "60 seconds"):
+    """ST1-ST3: start the ingest query; returns the StreamingQuery. Late rows are always accepted."""
     s = positions.where(F.col("mmsi").isNotNull() & F.col("timestamp").isNotNull()
                         & F.col("lat").isNotNull() & F.col("lon").isNotNull())
     if bbox is not None:
         s = s.where(in_bbox(F.col("lat"), F.col("lon"), bbox))
-    s = s.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["mmsi", "timestamp"])
-    w = s.writeStream.foreachBatch(_insert_or_ignore(table_path)).option("checkpointLocation", checkpoint)
+
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        insert_or_ignore(batch.withColumn("date", F.to_date("timestamp")), table_path, ["mmsi", "timestamp"], ["date"])
+
+    w = s.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
