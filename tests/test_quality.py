@@ -21,3 +21,13 @@ def test_missing_days_fail_and_sentinels_pass(spark):
     empty = spark.createDataFrame([(r[0], dt.date(2024, 1, 4)) for r in C.REGIONS], "region string, date date")
     got = quality.coverage(checks, dt.date(2024, 1, 1), dt.date(2024, 1, 4), sentinels=empty).orderBy("date").collect()
     assert [r["passed"] for r in got] == [True, False, True, True]
+
+
+def test_a_positive_label_on_either_key_wins(spark):
+    from vesselrisk.plans.evaluate import label_watchlist
+
+    w = spark.createDataFrame([("1", "9"), ("2", "8"), ("3", None)], "mmsi string, imo string")
+    lab = spark.createDataFrame([("1", "", "cleared", "high"), ("", "9", "confirmed", "low"), ("2", "", "negative", "mid")],
+                                "mmsi string, imo string, label string, label_confidence string")
+    got = {r["mmsi"]: (r["y_true"], r["label_confidence"]) for r in label_watchlist(w, lab).collect()}
+    assert got == {"1": (1, "high"), "2": (0, "mid"), "3": (None, None)}

@@ -11,6 +11,7 @@ from ..oracle import with_views
 from ..session import cut_lineage
 from ..sources.fixtures import Fixtures
 from . import anomaly, propagation, scoring
+from .baseline import behaviour_baseline
 from .features import DEFAULTS, build_feature_matrix
 from .fusion_queries import detection_window
 from .registry import ORACLE, finish, register
@@ -264,7 +265,7 @@ def watchlist(spark, base, n_trees: int = 200):
     fx = Fixtures(spark, base)
     fm = cut_lineage(feature_matrix(spark, base))
     ctx = scoring.scoring_context(fm, fx.vessel_meta, fx.ais_positions)
-    an = anomaly.anomaly_scores(fm, n_trees=n_trees)
+    an = anomaly.anomaly_scores(fm, behaviour_baseline(fm, fx.vessel_meta), n_trees=n_trees)
     geo = scoring.geo_factor(ctx, scoring.geo_events_frame(spark), REF_DATE)
     floor = scoring.propagation_floor(_propagated(spark, base))
     scored = scoring.composite_scores(ctx, an, geo=geo, floor=floor)
@@ -273,7 +274,14 @@ def watchlist(spark, base, n_trees: int = 200):
 
 @register("anomaly_scores")
 def q_anomaly_scores(spark, base):
-    return finish(anomaly.anomaly_scores(cut_lineage(feature_matrix(spark, base))))
+    fm = cut_lineage(feature_matrix(spark, base))
+    return finish(anomaly.anomaly_scores(fm, behaviour_baseline(fm, Fixtures(spark, base).vessel_meta)))
+
+
+@register("behaviour_baseline")
+def q_behaviour_baseline(spark, base):
+    """M1 over the whole fleet."""
+    return finish(behaviour_baseline(feature_matrix(spark, base), Fixtures(spark, base).vessel_meta))
 
 
 @register("watchlist")
