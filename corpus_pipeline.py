@@ -7,6 +7,8 @@ columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,12 +52,22 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def _on_ready_session(stage):
+    """A stage may be called on its own, so it sees to the session settings and the shipped package itself."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(ensure_conf(spark), docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality),
-    ("SimHash near-dedup", near_dedup),
-    ("benchmark decontamination", decontaminate),
-    ("mixing sources", mix),
-    ("token-ID output", token_ids),
+    ("quality rules", _on_ready_session(quality)),
+    ("SimHash near-dedup", _on_ready_session(near_dedup)),
+    ("benchmark decontamination", _on_ready_session(decontaminate)),
+    ("mixing sources", _on_ready_session(mix)),
+    ("token-ID output", _on_ready_session(token_ids)),
 ]
 ORACLE_SQL = None  # fingerprints and tokens have no SQL; tests hold the stages against brute force
 
