@@ -70,7 +70,7 @@ def write_shards(
         ),
     )
     shuffled = (
-        placed.repartition(n_buckets, "bucket")
+        placed.repartitionById(n_buckets, F.col("bucket"))  # a task holds one bucket, and its number seeds the shuffle
         .groupBy("bucket")
         .agg(in_order.alias("records"))
         .join(F.broadcast(starts), "bucket")  # one (int, long) a bucket
