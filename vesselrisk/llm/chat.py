@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -82,12 +83,12 @@ def write_chats(turns: DataFrame, tokenizer: str, path: str | None = None) -> st
     return path
 
 
+@lru_cache(maxsize=4)
 def _bytes_of(path: str) -> dict[int, bytes]:
-    """The bytes behind each id of a byte-level BPE; reserved ids have none."""
+    """The bytes behind each id of a byte-level BPE; reserved ids have none. Kept by the Python worker."""
     to_ids = encoder(path)
     back = {c: b for b, c in to_ids.chars.items()}
-    table = {i: bytes(back[c] for c in word) for word, i in to_ids.tokenizer.get_vocab(with_added_tokens=False).items() if all(c in back for c in word)}
-    return table
+    return {i: bytes(back[c] for c in word) for word, i in to_ids.tokenizer.get_vocab(with_added_tokens=False).items() if all(c in back for c in word)}
 
 
 class _Chat:
