@@ -9,7 +9,7 @@ one task. Two replacements:
 * ``exclusive_prefix_sums``: range-partition by (group, order), sort within
   partitions, compute partition-local running sums in ``mapInPandas``, then add
   per-(partition, group) offsets derived from a tiny totals table
-  (#partitions x #groups rows, joined by broadcast).
+  (#partitions x #groups rows, equi-joined; no size is assumed).
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 
 def top_k_per_group(df: DataFrame, group: list[str], order: list, k: int, rank_col: str = "rk") -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*order)
@@ -49,7 +51,7 @@ def exclusive_prefix_sums(
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        carry: dict = {}
+        carry: dict = {v: {} for v in values}
         for pdf in it:
             if pdf.empty:
                 continue
@@ -58,20 +60,20 @@ def exclusive_prefix_sums(
             for v in values:
                 col = pdf[v].astype("float64").fillna(0.0)
                 incl = col.groupby(pdf[group], sort=False).cumsum()
-                prev = pdf[group].map(lambda g, v=v: carry.get((g, v), 0.0)).astype("float64")
+                prev = pdf[group].map(carry[v]).astype("float64").fillna(0.0)
                 pdf[f"cum_{v}"] = incl - col + prev
                 last = (incl + prev).groupby(pdf[group], sort=False).last()
-                for g_, val in last.items():
-                    carry[(g_, v)] = float(val)
+                carry[v].update(last.to_dict())
             yield pdf
 
-    local_df = ranged.mapInPandas(local, out_schema)
+    # Written once: the totals and the rows must come from the same ranges, whatever is lost or read again.
+    local_df = cut_lineage(ranged.mapInPandas(local, out_schema))
     # Totals per (partition, group): at most #partitions x #groups rows.
     totals = local_df.groupBy("_pid", group).agg(
         *[F.sum(F.coalesce(F.col(v).cast("double"), F.lit(0.0))).alias(f"t_{v}") for v in values])
     w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", group, *[F.coalesce(F.sum(f"t_{v}").over(w), F.lit(0.0)).alias(f"o_{v}") for v in values])
-    res = local_df.join(F.broadcast(offsets), ["_pid", group], "left")
+    res = local_df.join(offsets, ["_pid", group], "left")
     return res.select(
         *[c for c in df.columns],
         *[(F.col(f"cum_{v}") + F.coalesce(F.col(f"o_{v}"), F.lit(0.0))).alias(f"cum_{v}") for v in values],
