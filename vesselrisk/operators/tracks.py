@@ -308,7 +308,7 @@ def fold_by_key(parts: list[DataFrame], defaults: dict, key: str = "mmsi") -> Da
     for p in parts[1:]:
         stacked = stacked.unionByName(p, allowMissingColumns=True)
     aggs = [F.first(F.col(c), ignorenulls=True).alias(c) for c in defaults if c in stacked.columns]
-    merged = stacked.groupBy(key).agg(*aggs)
+    merged = stacked.groupBy(key).agg(*aggs) if aggs else stacked.select(key).distinct()
     return merged.select(key, *[
         (F.coalesce(F.col(c), F.lit(v)) if c in stacked.columns else F.lit(v)).alias(c) for c, v in defaults.items()
     ])

@@ -41,6 +41,18 @@ DEFAULTS = {
     "sanctions_list_count": 0,
 }
 
+# The columns by the family that works them out.
+TRACK_COLUMNS = [
+    "ais_gap_count_30d", "ais_gap_max_hours", "position_jump_count", "sts_candidate_count", "port_call_ratio",
+    "loitering_hours_30d", "chokepoint_exit_gap_count", "ais_pre_gap_regularity",
+]
+IMO_COLUMNS = ["imo_type_mismatch", "imo_scrapped_flag", "imo_under_construction_flag"]
+TRADE_COLUMNS = ["route_cargo_mismatch", "declared_vs_estimated_cargo_value"]
+SAR_COLUMNS = ["unmatched_sar_detections_30d"]
+EO_COLUMNS = ["eo_dark_count_30d", "eo_ais_mismatch_ratio"]
+CHANGE_COLUMNS = ["flag_changes_2y", "name_changes_2y", "owner_changes_2y", "high_risk_flag_ratio", "ownership_depth"]
+OWNERSHIP_COLUMNS = ["sanctions_distance", "cluster_sanctions_ratio", "shared_manager_risk", "shared_address_centrality"]
+
 CORE_COLUMNS = [
     "ais_gap_count_30d", "position_jump_count", "sts_candidate_count", "loitering_hours_30d",
     "flag_changes_2y", "name_changes_2y", "owner_changes_2y", "sanctions_distance",
@@ -66,42 +78,57 @@ def build_feature_matrix(
     skip_graph: bool = False,
     skip_eo: bool = False,
     deep_cells: DataFrame | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """One row per vessel (positions in window ∪ registry), all 27 features with defaults.
 
+    ``columns`` asks for some features only; families without any of them are not planned.
     Families are stacked and folded with one groupBy(mmsi). The direct-listing
     fallback, the program count and the STS degree are applied after the
     merge so vessels absent from the registry are covered too.
     """
-    # The windowed positions and their lagged form feed every track and fusion
-    # feature: shuffle once, persist, and let each family read the same frame.
-    win = tracks.reuse(tracks.position_window(positions, as_of, window_days))
-    lagged = tracks.reuse(tracks.lagged_fixes(win))
-    parts = [tracks.ais_features(win, deep_cells=deep_cells, lagged=lagged)]
-    parts.append(identity.trade_mismatch(vessel_meta, trade_flow))
-    parts.append(identity.imo_mismatch(vessel_meta, vessel_ref, as_of))
-    if sar is not None:
+    wanted = list(DEFAULTS) if columns is None else [c for c in DEFAULTS if c in columns]
+
+    def asked(group: list[str]) -> bool:
+        return any(c in wanted for c in group)
+
+    window = tracks.position_window(positions, as_of, window_days)
+    sensors = sar is not None and asked(SAR_COLUMNS) or eo is not None and not skip_eo and asked(EO_COLUMNS)
+    if asked(TRACK_COLUMNS) or sensors:
+        # The windowed positions and their lagged form feed every track and fusion
+        # feature: shuffle once, persist, and let each family read the same frame.
+        window = tracks.reuse(window)
+        lagged = tracks.reuse(tracks.lagged_fixes(window))
+    # All vessels, whatever families are asked for.
+    parts = [window.select("mmsi").unionByName(vessel_meta.select("mmsi")).where(F.col("mmsi").isNotNull()).distinct()]
+    if asked(TRACK_COLUMNS):
+        parts.append(tracks.ais_features(window, deep_cells=deep_cells, lagged=lagged))
+    if asked(TRADE_COLUMNS):
+        parts.append(identity.trade_mismatch(vessel_meta, trade_flow))
+    if asked(IMO_COLUMNS):
+        parts.append(identity.imo_mismatch(vessel_meta, vessel_ref, as_of))
+    if sar is not None and asked(SAR_COLUMNS):
         parts.append(fusion.unmatched_sar_detections(sar, lagged))
-    if eo is not None and not skip_eo:
+    if eo is not None and not skip_eo and asked(EO_COLUMNS):
         parts.append(fusion.eo_features(eo, lagged))
-    g = None
-    if not skip_graph:
+    if not skip_graph and asked(CHANGE_COLUMNS + OWNERSHIP_COLUMNS):
         g = graph.build_graph(vessel_meta, sanctions_entities, owned_by, managed_by, controlled_by,
                               registered_in, registered_at)
-        parts.append(graph.identity_graph_features(g))
-        parts.append(graph.ownership_features(g, sanctions_entities).drop("sts_hub_degree"))
-    matrix = tracks.fold_by_key(parts, {k: v for k, v in DEFAULTS.items()})
+        if asked(CHANGE_COLUMNS):
+            parts.append(graph.identity_graph_features(g))
+        if asked(OWNERSHIP_COLUMNS):
+            parts.append(graph.ownership_features(g, sanctions_entities).drop("sts_hub_degree"))
+    matrix = tracks.fold_by_key(parts, {k: DEFAULTS[k] for k in wanted})
     if not skip_graph:
-        matrix = graph.direct_sanctions_fallback(matrix, sanctions_entities)
-        slc = graph.sanctions_list_count(vessel_meta, sanctions_entities).withColumnRenamed("sanctions_list_count", "_slc")
-        deg = tracks.sts_hub_degree(tracks.sts_contacts(positions, deep_cells)).withColumnRenamed("sts_hub_degree", "_deg")
-        matrix = (
-            matrix.join(slc, "mmsi", "left").join(deg, "mmsi", "left")
-            .withColumn("sanctions_list_count", F.coalesce("_slc", F.lit(0)))
-            .withColumn("sts_hub_degree", F.coalesce("_deg", F.col("sts_hub_degree")))
-            .drop("_slc", "_deg")
-        )
-    return matrix.select("mmsi", *DEFAULTS.keys())
+        if "sanctions_distance" in wanted:
+            matrix = graph.direct_sanctions_fallback(matrix, sanctions_entities)
+        if "sanctions_list_count" in wanted:
+            slc = graph.sanctions_list_count(vessel_meta, sanctions_entities).withColumnRenamed("sanctions_list_count", "_slc")
+            matrix = matrix.join(slc, "mmsi", "left").withColumn("sanctions_list_count", F.coalesce("_slc", F.lit(0))).drop("_slc")
+        if "sts_hub_degree" in wanted:
+            deg = tracks.sts_hub_degree(tracks.sts_contacts(positions, deep_cells)).withColumnRenamed("sts_hub_degree", "_deg")
+            matrix = matrix.join(deg, "mmsi", "left").withColumn("sts_hub_degree", F.coalesce("_deg", F.col("sts_hub_degree"))).drop("_deg")
+    return matrix.select("mmsi", *wanted)
 
 
 def validate_core_columns(matrix: DataFrame, columns: list[str] = CORE_COLUMNS) -> DataFrame:

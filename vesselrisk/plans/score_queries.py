@@ -11,7 +11,7 @@ from ..oracle import with_views
 from ..session import cut_lineage
 from ..sources.fixtures import Fixtures
 from . import anomaly, propagation, scoring
-from .baseline import behaviour_baseline
+from .baseline import BEHAVIOUR_DEFAULTS, behaviour_baseline
 from .features import DEFAULTS, build_feature_matrix
 from .fusion_queries import detection_window
 from .registry import ORACLE, finish, register
@@ -20,13 +20,13 @@ from .track_queries import STS_CONTACTS_SQL, WIN_SQL, cell_sql
 REF_DATE = dt.date(2024, 1, 31)
 
 
-def feature_matrix(spark, base, skip_eo: bool = False):
+def feature_matrix(spark, base, skip_eo: bool = False, columns: list[str] | None = None):
     fx = Fixtures(spark, base)
     det = detection_window(fx.detections)
     return build_feature_matrix(
         fx.ais_positions, fx.vessel_meta, fx.sanctions_entities, fx.owned_by, fx.managed_by,
         fx.controlled_by, fx.registered_in, fx.registered_at, fx.trade_flow, fx.equasis_vessel_ref,
-        sar=det, eo=det, skip_eo=skip_eo,
+        sar=det, eo=det, skip_eo=skip_eo, columns=columns,
     )
 
 
@@ -97,9 +97,9 @@ def q_feature_matrix(spark, base):
 ORACLE["feature_matrix"] = _matrix_sql()
 
 
-def _context(spark, base):
+def _context(spark, base, columns: list[str] | None = None):
     fx = Fixtures(spark, base)
-    fm = cut_lineage(feature_matrix(spark, base))
+    fm = cut_lineage(feature_matrix(spark, base, columns=columns))
     return scoring.scoring_context(fm, fx.vessel_meta, fx.ais_positions)
 
 
@@ -128,7 +128,7 @@ def ctx_sql(body: str, *extra) -> str:
        round(last_lon, 6) AS last_lon, epoch_us(last_seen) AS last_seen_us FROM ctx"""),
 )
 def q_context_latest(spark, base):
-    c = _context(spark, base)
+    c = _context(spark, base, columns=[])
     return finish(c.select("mmsi", "imo", "vessel_name", "ship_type", "flag", "last_lat", "last_lon",
                            F.unix_micros("last_seen").alias("last_seen_us")))
 
@@ -152,14 +152,17 @@ IDENTITY_SQL = (
 @register("graph_risk", with_views(extra=[("fm", _matrix_sql(rounded=False))])
           + f"SELECT mmsi, round({GRAPH_RISK_SQL}, 6) AS graph_risk_score FROM fm")
 def q_graph_risk(spark, base):
-    fm = finish(feature_matrix(spark, base))  # scores over the published (6-dp) matrix
+    # Scores over the published (6-dp) matrix, of the features that they use.
+    used = ["sanctions_distance", "cluster_sanctions_ratio", "shared_manager_risk", "sts_hub_degree", "sanctions_list_count"]
+    fm = finish(feature_matrix(spark, base, columns=used))
     return finish(fm.select("mmsi", scoring.graph_risk_score(fm).alias("graph_risk_score")))
 
 
 @register("identity_score", with_views(extra=[("fm", _matrix_sql(rounded=False))])
           + f"SELECT mmsi, round({IDENTITY_SQL}, 6) AS identity_score FROM fm")
 def q_identity_score(spark, base):
-    fm = finish(feature_matrix(spark, base))
+    used = ["name_changes_2y", "owner_changes_2y", "high_risk_flag_ratio", "ownership_depth"]
+    fm = finish(feature_matrix(spark, base, columns=used))
     return finish(fm.select("mmsi", scoring.identity_score().alias("identity_score")))
 
 
@@ -198,7 +201,7 @@ def _geo_sql() -> str:
 
 @register("geo_filter", _geo_sql())
 def q_geo_filter(spark, base):
-    c = _context(spark, base)
+    c = _context(spark, base, columns=[])
     return finish(scoring.geo_factor(c, scoring.geo_events_frame(spark), REF_DATE))
 
 
@@ -281,7 +284,7 @@ def q_anomaly_scores(spark, base):
 @register("behaviour_baseline")
 def q_behaviour_baseline(spark, base):
     """M1 over the whole fleet."""
-    return finish(behaviour_baseline(feature_matrix(spark, base), Fixtures(spark, base).vessel_meta))
+    return finish(behaviour_baseline(feature_matrix(spark, base, columns=list(BEHAVIOUR_DEFAULTS)), Fixtures(spark, base).vessel_meta))
 
 
 @register("watchlist")
