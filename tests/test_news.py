@@ -1,4 +1,4 @@
-"""The common-term shortcut of the news search returns exactly the brute-force top-k."""
+"""The shared-term shortcut of the news search returns exactly the brute-force top-k."""
 
 import os
 
@@ -12,12 +12,13 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-def test_common_term_split_is_exact(spark):
+def test_shared_term_split_is_exact(spark):
     vessels = Fixtures(spark, SF).vessel_meta.select("mmsi", "name", "flag")
     docs = read_table(spark, SF, "documents").select("doc_id", "text")
-    brute = news.news_context(vessels, docs, common_df=10**9)
-    split = news.news_context(vessels, docs, common_df=1)
+    brute = news.news_context(vessels, docs, shared_from=10**9)
+    split = news.news_context(vessels, docs, shared_from=1)
+    usual = news.news_context(vessels, docs)
     key = lambda r: (r["mmsi"], r["rank"], r["doc_id"], round(r["score"], 9))
     b = sorted(map(key, brute.collect()))
     s = sorted(map(key, split.collect()))
-    assert b and b == s
+    assert b and b == s == sorted(map(key, usual.collect()))

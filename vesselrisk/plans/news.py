@@ -4,14 +4,13 @@ Query text per vessel = flag + the first two upper-cased name tokens longer
 than two characters, tokenised like the documents. The best ``3n`` documents
 by BM25 are kept, then the newest ``n`` of those.
 
-Exact top-k without pairing every vessel with every posting of a common term:
-terms with document frequency above ``common_df`` are "common". For a vessel,
-a document matching none of its rare terms scores only through its common
-terms, so its rank among such documents is the same for every vessel with the
-same common-term set. Hence the exact top ``3n`` lies in (top ``3n`` of its
-common-term set, computed once per distinct set) ∪ (documents matching one of
-its rare terms, at most ``common_df`` each). Candidates are then rescored with
-the full query. Ties break on the larger doc id in both stages.
+Exact top-k without pairing vessels with the postings of terms that many of them ask
+for: terms of one vessel only are its own, the others are shared. A document that matches
+none of a vessel's own terms scores through the shared ones alone, so its rank among
+such documents is the same for every vessel with the same set of shared terms. Hence the
+exact top ``3n`` lies in (top ``3n`` of the shared set, computed once per distinct set) ∪
+(documents with an own term; each posting of an own term belongs to one vessel).
+Candidates are then rescored with the full query. Ties break on the larger doc id in both stages.
 """
 
 from __future__ import annotations
@@ -22,20 +21,21 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.text import tokens
 from ..operators.ordered import top_k_per_group
+from ..operators.tracks import reuse
 
 
-def doc_term_scores(docs: DataFrame, k1: float = C.BM25_K1, b: float = C.BM25_B) -> DataFrame:
-    """(term, doc_id, s, df): BM25 contribution of each term present in each document (whole texts)."""
+def doc_term_scores(docs: DataFrame, asked: DataFrame, k1: float = C.BM25_K1, b: float = C.BM25_B) -> DataFrame:
+    """(term, doc_id, s): BM25 contribution of each asked ``term`` in each document (whole texts)."""
     toks = docs.select("doc_id", tokens(F.col("text")).alias("t"))
     dl = toks.select("doc_id", F.size("t").alias("dl"))
-    tf = toks.select("doc_id", F.explode("t").alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = toks.select("doc_id", F.explode("t").alias("term")).join(asked, "term", "left_semi").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     stats = dl.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
     n, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1.0 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(k1) * (1.0 - b + b * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
     return tf.join(dl, "doc_id").join(df, "term").select(
-        "term", "doc_id", "df", (idf * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("s"))
+        "term", "doc_id", (idf * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("s"))
 
 
 def query_terms(vessels: DataFrame, name_tokens: int = C.NEWS_NAME_TOKENS,
@@ -46,29 +46,31 @@ def query_terms(vessels: DataFrame, name_tokens: int = C.NEWS_NAME_TOKENS,
     return vessels.select("mmsi", F.explode(F.array_distinct(tokens(text))).alias("term"))
 
 
-def news_context(vessels: DataFrame, docs: DataFrame, n: int = C.NEWS_RESULTS,
-                 common_df: int = 10_000) -> DataFrame:
-    """Top ``n`` newest of the best ``3n`` documents per vessel: (mmsi, rank, doc_id, score)."""
+def news_context(vessels: DataFrame, docs: DataFrame, n: int = C.NEWS_RESULTS, shared_from: int = 2) -> DataFrame:
+    """Top ``n`` newest of the best ``3n`` documents per vessel: (mmsi, rank, doc_id, score).
+
+    Any split of the terms gives the same result; ``shared_from`` is the number of vessels from which a term is shared.
+    """
     k = n * C.NEWS_CANDIDATE_FACTOR
-    s = doc_term_scores(docs)
     q = query_terms(vessels)
-    qs = q.join(s.select("term", "df").distinct(), "term")
-    rare = qs.where(F.col("df") <= common_df).select("mmsi", "term")
-    common = qs.where(F.col("df") > common_df).select("mmsi", "term")
-    # Rare terms: their postings are bounded by common_df.
-    cand = rare.join(s.select("term", "doc_id"), "term").select("mmsi", "doc_id")
-    # Common terms: best k documents once per distinct common-term set.
-    sig = common.groupBy("mmsi").agg(F.array_sort(F.collect_set("term")).alias("sig"))
+    uses = q.groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
+    s = reuse(doc_term_scores(docs, uses))
+    qs = q.join(uses, "term")
+    own = qs.where(F.col("uses") < shared_from).select("mmsi", "term")
+    shared = qs.where(F.col("uses") >= shared_from).select("mmsi", "term")
+    cand = own.join(s.select("term", "doc_id"), "term").select("mmsi", "doc_id")
+    # Shared terms: best k documents once per distinct set.
+    sig = shared.groupBy("mmsi").agg(F.array_sort(F.collect_set("term")).alias("sig"))
     sigs = sig.select("sig").distinct()
     sig_scores = (
-        sigs.select("sig", F.explode("sig").alias("term")).join(s.select("term", "doc_id", "s"), "term")
+        sigs.select("sig", F.explode("sig").alias("term")).join(s, "term")
         .groupBy("sig", "doc_id").agg(F.sum("s").alias("cs"))
     )
     sig_top = top_k_per_group(sig_scores, ["sig"], [F.col("cs").desc(), F.col("doc_id").desc()], k)
     cand = cand.unionByName(sig.join(sig_top, "sig").select("mmsi", "doc_id")).distinct()
     # Rescore candidates with the whole query (at most 5 terms per vessel).
     full = (
-        cand.join(q, "mmsi").join(s.select("term", "doc_id", "s"), ["term", "doc_id"])
+        cand.join(q, "mmsi").join(s, ["term", "doc_id"])
         .groupBy("mmsi", "doc_id").agg(F.sum("s").alias("score"))
     )
     best = top_k_per_group(full, ["mmsi"], [F.col("score").desc(), F.col("doc_id").desc()], k, "srank")
