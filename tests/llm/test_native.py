@@ -1,5 +1,6 @@
 """Sharding, mixing and quality rules: laws and counts against plain Python."""
 
+import random
 import re
 from collections import Counter
 
@@ -88,5 +89,34 @@ def test_quality_verdict(spark):
     assert got[99].char_distance > quality_rules.MAX_CHAR_DISTANCE
 
 
+def test_quality_word_limits(spark):
+    rng = random.Random(5)
+    stems = [a + b + c for a in ("bel", "dor", "min", "tas") for b in ("ar", "en", "il", "os") for c in ("ta", "rok", "nem", "lis")]
+    common = {"en": "the of and to in is that for with was".split(), "de": "der die und den von zu das mit sich nicht".split()}
+
+    def prose(lang, n, share=0.3):
+        return " ".join(rng.choice(common[lang]) if rng.random() < share else rng.choice(stems) + rng.choice(stems) for _ in range(n))
+
+    rows = [(i, prose(lang, n), lang) for i, (lang, n) in enumerate((x, n) for x in common for n in (60, 120, 400, 1500) for _ in range(30))]
+    clean = [(1000 + i, prose("en", 50 + 40 * i), "en") for i in range(10)] + [(1020, prose("de", 300), "de")]
+    free = [(2000 + i, prose("en", n, 0.0), "en") for i, n in enumerate((200, 400, 2000))]
+    wrong = [(2010, prose("de", 300), "en"), (2011, prose("en", 300), "de")]
+    small = [(3000 + i, prose("en", 300), "xx") for i in range(2)]
+    docs = spark.createDataFrame([*rows, *clean, *free, *wrong, *small], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert not any(got[i].base_failed or got[i].char_distance > quality_rules.MAX_CHAR_DISTANCE for i in got)
+    assert [i for i in got if not got[i].kept] == [i for i in got if 2000 <= i < 3000]
+
+
+def test_quality_references_shrink_smoothly(spark):
+    text = {"aa": "the wordy " * 30, "bb": "und wordy " * 30}
+    frame = lambda n: spark.createDataFrame([("aa", text["aa"])] * 100 + [("bb", text["bb"])] * n, "lang string, text string")
+    share = {}
+    for n in (1, 19, 20, 60):
+        refs = {r.r_lang: r for r in quality_rules.references(frame(n)).where("not whole").collect()}
+        share[n] = refs["bb"].r_words["und"]
+    assert share[1] < share[19] < share[20] < share[60] < 0.5 and share[20] - share[19] < 0.01
+
+
 def test_quality_of_nothing(none):
     assert quality_rules.judge(none).count() == 0

@@ -6,10 +6,17 @@ with the reference of its language by Jensen-Shannon distance (base 2, 0 to 1):
 characters by class, and common words (function words of four languages, all other
 words together). A reference is the mean of the histograms of all documents of the
 language that pass the length guard, so no long document or source outweighs others;
-it is gathered from the whole corpus with partial sums before the shuffle. A language
-with less than ``MIN_REFERENCE`` documents takes the reference of the whole corpus.
+it is gathered from the whole corpus with partial sums before the shuffle. The mean of the
+whole corpus goes into each reference with the weight of ``MIN_REFERENCE`` documents.
 Texts under the length guards have no distance and are left to the base rules.
 
+How far a document's words may be from its reference depends on its language and length.
+The same sums give, for each word, the variance of its share between the documents of the
+language; with the sampling variance of a share among n words this gives the squared
+distance that n words of a usual document have on average. A text goes if its distance
+exceeds the root of that by over ``SIGMAS`` relative standard deviations, so short texts,
+in which a share may be far off by chance, have the wider limit. There is no fixed word cutoff.
+
 Everything of a document is worked out inside its row, so texts are never shuffled;
 the corpus is read twice. Windows are compared by 64-bit hashes, within one text.
 
@@ -20,6 +27,8 @@ alike; input columns called like a result column are replaced, others stay.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +48,9 @@ MIN_WORDS = 50
 MIN_CHARS = 200
 MIN_REFERENCE = 20
 MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.75
+SIGMAS = 3
+STEPS = 4  # word limits are worked out for MIN_WORDS * 2**(k / STEPS) words
+N_LIMITS = 100
 BROADCAST_LANGUAGES = 10_000
 OUTPUTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
 
@@ -114,19 +125,60 @@ def histograms(docs: DataFrame, text: str) -> DataFrame:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per language, and one with ``whole`` for the corpus: mean histograms over its documents that are long enough."""
+    """One row per language, and one with ``whole`` for the corpus: mean histograms over its documents that are long enough, and word limits by length."""
     each = histograms(docs.select(F.col(f"`{lang}`").alias("r_lang"), F.col(f"`{text}`").alias("text")), "text").where("long_enough")
     # One pass: words as they are, character classes as "#0", "#1" .., the documents themselves as "#n".
     classes = F.transform("chars", lambda p, i: F.struct(F.concat(F.lit("#"), i.cast("string")).alias("w"), p.alias("p")))
     entries = F.concat("common", classes, F.array(F.struct(F.lit("#n").alias("w"), F.lit(1.0).alias("p"))))
-    shares = each.select("r_lang", F.explode(entries).alias("x")).select("r_lang", "x.w", "x.p")
-    sums = cut_lineage(shares.groupBy("r_lang", "w").agg(F.sum("p").alias("p")).withColumn("whole", F.lit(False)))
-    corpus = sums.groupBy("w").agg(F.sum("p").alias("p")).select(F.lit(None).cast("string").alias("r_lang"), "w", "p", F.lit(True).alias("whole"))
-    means = sums.unionByName(corpus).groupBy("whole", "r_lang").agg(F.map_from_entries(F.collect_list(F.struct("w", "p"))).alias("m"))
-    n = F.element_at("m", "#n")
-    of_words = F.transform_values(F.map_filter("m", lambda w, _: ~w.startswith("#")), lambda _, p: p / n)
-    r_chars = F.array(*[F.element_at("m", f"#{i}") / n for i in range(N_CLASSES)])
-    return means.where(F.col("whole") | (n >= MIN_REFERENCE)).select("r_lang", "whole", n.alias("n"), r_chars.alias("r_chars"), of_words.alias("r_words"))
+    shares = each.select("r_lang", "n_words", F.explode(entries).alias("x")).select("r_lang", "x.w", "x.p", "n_words")
+    # Sums of the shares, of their squares, and of their sampling variances as each document estimates them.
+    moments = F.sum("p").alias("p"), F.sum(F.col("p") * F.col("p")).alias("pp"), F.sum(F.col("p") * (1 - F.col("p")) / (F.col("n_words") - 1)).alias("v")
+    sums = cut_lineage(shares.groupBy("r_lang", "w").agg(*moments).withColumn("whole", F.lit(False)))
+    corpus = sums.groupBy("w").agg(*[F.sum(c).alias(c) for c in ("p", "pp", "v")])
+    corpus = corpus.select(F.lit(None).cast("string").alias("r_lang"), "w", "p", "pp", "v", F.lit(True).alias("whole"))
+    as_map = F.map_from_entries(F.collect_list(F.struct("w", F.struct("p", "pp", "v").alias("s")))).alias("m")
+    each_lang = sums.unionByName(corpus).groupBy("whole", "r_lang").agg(as_map).withColumn("n", F.element_at("m", "#n")["p"])
+    prior = corpus.agg(as_map).select(F.col("m").alias("c"))  # one row
+
+    def mean(w: Column, of: str) -> Column:
+        own, usual = F.coalesce(F.element_at("m", w)[of], F.lit(0.0)), F.element_at("c", w)[of] / F.element_at("c", F.lit("#n"))["p"]
+        return (own + MIN_REFERENCE * usual) / (F.col("n") + MIN_REFERENCE)
+
+    def usual(w: Column) -> Column:
+        between = F.greatest(mean(w, "pp") - mean(w, "p") * mean(w, "p") - mean(w, "v"), F.lit(0.0))
+        return F.struct(w.alias("w"), mean(w, "p").alias("q"), between.alias("b"))
+
+    words = F.transform(F.filter(F.map_keys("c"), lambda w: ~w.startswith("#")), usual)
+    return (
+        each_lang.crossJoin(F.broadcast(prior))
+        .withColumn("words", words)
+        .withColumn("r_chars", F.array(*[mean(F.lit(f"#{i}"), "p") for i in range(N_CLASSES)]))
+        .withColumn("r_words", F.map_from_entries(F.transform("words", lambda x: F.struct(x["w"], x["q"]))))
+        .withColumn("r_limits", word_limits(F.col("words")))
+        .select("r_lang", "whole", "n", "r_chars", "r_words", "r_limits")
+    )
+
+
+def word_limits(words: Column) -> Column:
+    """The greatest word distance that is not unusual for a text of ``MIN_WORDS * 2**(k / STEPS)`` words, k from 0.
+
+    ``words`` has (w, q: mean share, b: variance of the share between documents).
+    """
+
+    def part(x: Column, n: Column) -> Column:
+        # Var / (8 ln 2 q) for small deviations; q at most, for a word that a short text hardly ever has.
+        var = x["q"] * (1 - x["q"]) / n + x["b"]
+        return F.when(var > 0, var / (8 * math.log(2) * x["q"] + var / x["q"])).otherwise(F.lit(0.0))
+
+    def add(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+    common = F.filter(words, lambda x: x["w"] != "")
+    total, squares = add(F.transform(common, lambda x: x["q"])), add(F.transform(common, lambda x: x["q"] * x["q"]))
+    # Degrees of freedom: the effective number of common words. The root of a chi-square of k has the relative deviation 1 / sqrt(2k).
+    freedom = F.when(squares > 0, total * total / squares).otherwise(F.lit(1.0))
+    lengths = F.array(*[F.lit(float(MIN_WORDS) * 2 ** (k / STEPS)) for k in range(N_LIMITS)])
+    return F.transform(lengths, lambda n: F.sqrt(add(F.transform(words, lambda x: part(x, n)))) * (1 + SIGMAS / F.sqrt(2 * freedom)))
 
 
 def _js_arrays(p: Column, q: Column) -> Column:
@@ -152,10 +204,11 @@ def _js_entries(p: Column, q: Column) -> Column:
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFrame | None = None) -> DataFrame:
     """``docs`` with the counts, ``base_failed``, both distances (null under the guards) and ``kept``."""
     refs = cut_lineage(references(docs, text, lang) if refs is None else refs)
-    per_lang = refs.where("not whole").select("r_lang", "r_chars", "r_words")
+    per_lang = refs.where("not whole").select("r_lang", "r_chars", "r_words", "r_limits")
     whole = refs.where("whole").first()  # one row: a share per class and common word
     w_chars = F.array(*[F.lit(x) for x in (whole["r_chars"] if whole else [0.0] * N_CLASSES)])
     w_words = F.create_map(*[F.lit(x) for kv in (whole["r_words"] if whole else {"": 1.0}).items() for x in kv])
+    w_limits = F.array(*[F.lit(x) for x in (whole["r_limits"] if whole else [1.0] * N_LIMITS)])
     few = per_lang.count() <= BROADCAST_LANGUAGES  # a few kB a language; more are joined as any other table
     packed = docs.select(F.struct(*replaced(docs, OUTPUTS)).alias("row"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     t = F.coalesce(F.col("text"), F.lit(""))
@@ -171,7 +224,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFra
     )
     joined = counted.join(F.broadcast(per_lang) if few else per_lang, F.col("lang").eqNullSafe(F.col("r_lang")), "left")
     chars, words = F.coalesce("r_chars", w_chars), F.coalesce("r_words", w_words)
-    far = (F.col("char_distance") > MAX_CHAR_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE)
+    step = F.floor(STEPS * F.log2(F.col("n_words") / MIN_WORDS)) + 1  # the limit of the next lower length, so the wider one
+    limit = F.element_at(F.coalesce("r_limits", w_limits), F.least(F.greatest(step, F.lit(1)), F.lit(N_LIMITS)).cast("int"))
+    far = (F.col("char_distance") > MAX_CHAR_DISTANCE) | (F.col("word_distance") > limit)
     return (
         joined.withColumn("char_distance", F.when(F.col("long_enough"), _js_arrays(F.col("chars"), chars)))
         .withColumn("word_distance", F.when(F.col("long_enough"), _js_entries(F.col("common"), words)))
