@@ -127,6 +127,33 @@ def test_pages_without_an_article_lose_what_their_host_repeats(spark):
     assert html.extract(frame.where("false")).count() == 0
 
 
+def test_open_pages_keep_near_copies_and_quoted_sentences(spark):
+    rng = random.Random(3)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    menu = "Home News Sport Weather Contact About Imprint"
+    quote = "we shall not forget what was said here today by all of them"
+    pages, want = [], {}
+
+    def add(url, blocks, kept):
+        want[len(pages)] = "\n".join(kept)
+        pages.append((len(pages), url, "".join(f"<p>{b}</p>" for b in blocks)))
+
+    for host, copies in (("two", 2), ("four", 4)):  # views of one article, an advert differs
+        article = [words(60), words(50), words(8)]
+        for i in range(copies):
+            own = [*article, words(6)]
+            add(f"http://{host}.net/a?ref={i}", own, own)
+    frame = [words(40)]
+    for i in range(8):  # a host with a menu, two near copies among others, and a sentence that some quote
+        own = frame if i < 2 else [f"{words(20)} {quote} {words(20)}" if i < 5 else words(40), f"{words(5)} once upon a time there was {words(5)}"]
+        add(f"http://mixed.net/{i}", [menu, *own, f"<!-- {i} -->"], own)
+    for url in (None, "/a/b", "c.html", "?x"):  # no host
+        own = [menu, words(30)]
+        add(url, own, own)
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 def test_classifier_on_held_out_rows(spark):
     got = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, SF.replace("0.001", "0.01")).collect()}
     labels = [(r.doc_id, r.quality) for r in spark.read.parquet(SF.replace("0.001", "0.01") + "/labels.parquet").collect()]
