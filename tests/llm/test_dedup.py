@@ -178,3 +178,26 @@ def test_decontamination_of_and_by_nothing(spark, odd, none):
     bench = spark.createDataFrame([(1, "the river")], "item_id long, text string")
     assert decontamination.flag(none, bench).count() == 0
     assert {r.contaminated for r in decontamination.flag(odd, bench.where("false")).collect()} == {False}
+
+
+def test_keep_one_when_later_scans_split_files_otherwise(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=80)) for _ in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "doc_id long, text string")
+    docs.repartition(24).write.parquet(str(tmp_path / "in"))
+    real, setting = simhash.groups, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+
+    def resplit(*a):
+        out = real(*a)
+        spark.conf.set(setting, "1k")
+        return out
+
+    spark.conf.set(setting, "100m")
+    monkeypatch.setattr(simhash, "groups", resplit)
+    try:
+        got = sorted(r.doc_id for r in simhash.keep_one(spark.read.parquet(str(tmp_path / "in"))).collect())
+    finally:
+        spark.conf.set(setting, before)
+    groups = plain_groups(list(range(200)), [plain_fingerprint(t) for t in texts])
+    assert got == sorted(set(groups))

@@ -28,6 +28,27 @@ def test_shards_of_a_hot_key_are_split(spark):
     assert min(hot) > 300
 
 
+def test_shards_stay_whole_when_later_scans_split_files_otherwise(spark, tmp_path, monkeypatch):
+    rows = spark.range(3000).select(F.when(F.col("id") % 2 == 0, -5).otherwise(F.col("id")).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    rows.repartition(24).write.parquet(str(tmp_path / "in"))
+    real, sizes = sharding.cut_lineage, iter(["100m", "1k"])
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+
+    def resplit(df):
+        out = real(df)
+        spark.conf.set(setting, next(sizes))
+        return out
+
+    monkeypatch.setattr(sharding, "cut_lineage", resplit)
+    try:
+        got = sharding.write_shards(spark.read.parquet(str(tmp_path / "in")), 4, bucket_bytes=1 << 10).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted(int(r.text) for r in got) == list(range(3000))
+    assert sorted((r.shard, r.slot) for r in got) == [(s, i) for s in range(4) for i in range(750)]
+
+
 def test_no_shards_of_nothing(none):
     assert sharding.write_shards(none, 3).count() == 0
 

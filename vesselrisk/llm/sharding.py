@@ -9,9 +9,9 @@ differ by one row at most and a bucket's task writes into one shard, or two.
 
 A key with more rows than a mean bucket is hot: its rows are spread over all
 buckets by a second hash of the row's place. There are fewer hot keys than
-buckets, which bounds the table of them. The place is only read twice from the same
-input, so the input has to be replayable (files or a checkpoint), as in every Spark
-job that survives lost executors.
+buckets, which bounds the table of them. The rows of hot keys are written with their
+places first and read from there, as a later scan may number them otherwise; the bucket
+of any other row depends on its key alone.
 
 Defined results: an empty table gives an empty one; null keys form one key; null
 texts count as empty; repeated rows are records of their own; an input column called
@@ -51,12 +51,14 @@ def write_shards(
 
     hot = cut_lineage(keyed.groupBy("h").count().where(F.col("count") * n_buckets > n).where("count > 1").select("h"))
     payload = F.struct(*replaced(rows, ["shard", "slot"]))
-    placed = (
-        rows.select(F.xxhash64(F.lit(seed), F.col(key)).alias("h"), F.monotonically_increasing_id().alias("at"), payload.alias("row"))
-        .join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "h", "left")
-        .withColumn("spread", F.when(F.col("is_hot"), F.xxhash64(F.lit(seed + 1), "h", "at")).otherwise(F.col("h")))
-        .withColumn("bucket", F.pmod("spread", F.lit(n_buckets)).cast("int"))
-    )
+    numbered = rows.select(F.xxhash64(F.lit(seed), F.col(key)).alias("h"), F.monotonically_increasing_id().alias("at"), payload.alias("row"))
+    spread = numbered.withColumn("spread", F.col("h"))
+    if not hot.isEmpty():
+        hot_path = shared_path(spark, "hot")
+        numbered.join(F.broadcast(hot), "h", "left_semi").write.parquet(hot_path)
+        dealt = spark.read.schema(numbered.schema).parquet(hot_path).withColumn("spread", F.xxhash64(F.lit(seed + 1), "h", "at"))
+        spread = spread.join(F.broadcast(hot), "h", "left_anti").unionByName(dealt)
+    placed = spread.withColumn("bucket", F.pmod("spread", F.lit(n_buckets)).cast("int"))
     # One row a bucket: where the bucket begins in the order of all records.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = cut_lineage(

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import slices, with_columns
-from .common import cut_lineage
+from .common import cut_lineage, shared_path
 from .components import components
 
 MAX_BITS = 3
@@ -201,8 +201,13 @@ def near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the least id, of rows with that id the first in the input (which has to be replayable)."""
-    placed = docs.withColumn("vr_at", F.monotonically_increasing_id())
+    """One document of each group: the least id, of rows with that id the first in the input.
+
+    The numbered rows are written once and both uses read them there: a second scan of the input may number them otherwise.
+    """
+    spark, path = docs.sparkSession, shared_path(docs.sparkSession, "numbered")
+    docs.withColumn("vr_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
     prints = cut_lineage(with_fingerprint(placed, text, [doc_id, "vr_at"]))
     order = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col("vr_at"))
     kept = prints.join(groups(prints, doc_id).select("fp", "root"), "fp").groupBy("root").agg(F.min(order)["vr_at"].alias("vr_at"))
