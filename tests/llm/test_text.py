@@ -170,3 +170,25 @@ def test_classifier_of_odd_rows(spark, odd, none):
     assert classifier.score(none, model).count() == 0
     flat = classifier.train(odd, labels.where("false"))
     assert {r.score for r in classifier.score(odd, flat).collect()} == {0.5}
+
+
+def test_a_repeated_id_does_not_fill_the_training_set(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int")
+    hot = [(ids[0], "one word " * (2 + n % 150)) for n in range(600)]
+    docs = [*hot, *((i, f"text {i} " * (3 + i)) for i in ids[1:])]
+    seen = []
+    monkeypatch.setattr(classifier, "fit", lambda x, y, w=None: seen.append((x, y, w)))
+    for rows in (docs, docs[::-1]):
+        classifier.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), labels, max_rows=len(ids))
+    (x, y, w), again = seen
+    assert all(np.array_equal(a, b) for a, b in zip((x, y, w), again))
+    assert len(y) == 2 * len(ids) and y.sum() == len(ids) // 2  # every other id is there, the hot one fills what is left
+
+
+def test_weights_are_repetitions():
+    rng = np.random.default_rng(4)
+    x, w = rng.normal(size=(120, len(classifier.FEATURES))), rng.integers(1, 5, 120)
+    y = (x[:, 0] + x[:, 1] > 0).astype(float)
+    a, b = classifier.fit(x, y, w.astype(float)), classifier.fit(np.repeat(x, w, axis=0), np.repeat(y, w))
+    assert np.allclose(a.score(x), b.score(x), atol=1e-6)

@@ -7,7 +7,9 @@ left get tables of their own by the same rounds with trees over both features. A
 sum of table entries, looked up for a whole batch at a time.
 
 The model is fitted on at most ``MAX_TRAIN`` labelled rows, those with the least hash of
-their id, collected as numbers; all else covers all rows. Labels, language, source and
+their id, collected as numbers; all else covers all rows. Rows of an id with equal features are
+one row with a weight. Ids with several texts may give up to ``2 * MAX_TRAIN`` such rows: one of each id
+first, then a second of each, and so on, in an order fixed by the rows. Labels, language, source and
 id are no features.
 
 Defined results: null and empty texts have all features zero and a score like others; null ids are
@@ -24,7 +26,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,19 +143,31 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Model:
-    share = float(y.mean()) if len(y) else 0.5
+def _quantiles(values: np.ndarray, w: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """As ``np.quantile`` of the values, each repeated by its weight."""
+    if (w == 1).all():
+        return np.quantile(values, at)
+    order = np.argsort(values, kind="stable")
+    ends = np.cumsum(w[order])
+    place = at * (ends[-1] - 1)
+    low, high = (values[order][np.searchsorted(ends, f(place), side="right")] for f in (np.floor, np.ceil))
+    return low + (high - low) * (place - np.floor(place))
+
+
+def fit(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> Model:
+    w = np.ones(len(y)) if w is None else w
+    share = float(np.average(y, weights=w)) if len(y) else 0.5
     if not len(y) or not 0 < share < 1:
         return Model(float(np.clip(np.log((share + 1e-9) / (1 - share + 1e-9)), -30, 30)))
     model = Model(float(np.log(share / (1 - share))))
-    model.edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
+    model.edges = [np.unique(_quantiles(x[:, f], w, np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
     b, n = model.bins(x), x.shape[1]
     model.tables = np.zeros((n, BINS))
     z = np.full(len(y), model.intercept)
 
     def slopes() -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-z))
-        return p - y, p * (1 - p)
+        return w * (p - y), w * p * (1 - p)
 
     for _ in range(ROUNDS):
         for f in range(n):
@@ -194,13 +208,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
             for piece, texts in slices(batch, "text"):
                 x = features(texts)
                 cols = {"x": pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float64()))}
-                yield with_columns(piece, ["y"], cols)
-
-    # At most max_rows labels; a document that is there twice is there twice.
-    got = rows.select("id", "text", "y").mapInArrow(run, "y double, x array<double>").limit(2 * max_rows).toPandas()
+                yield with_columns(piece, ["id", "y"], cols)
+
+    # At most max_rows labels; a document that is there twice has twice the weight.
+    found = rows.select("id", "text", "y").mapInArrow(run, T.StructType([rows.schema["id"], *T.StructType.fromDDL("y double, x array<double>")]))
+    folded = found.groupBy("id", "y", "x").agg(F.count("*").alias("w"))
+    of_id = Window.partitionBy("id").orderBy(F.xxhash64("x", "y"), "x", "y")
+    ranked = folded.withColumn("k", F.row_number().over(of_id)).where(F.col("k") <= 2 * max_rows)
+    got = ranked.orderBy("k", F.xxhash64("id"), "id").limit(2 * max_rows).select("y", "x", "w").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
-    order = np.lexsort((*x.T, got["y"].to_numpy()))  # the order of rows must not matter
-    return fit(x[order], (got["y"].to_numpy() >= 0.5).astype(float)[order])
+    order = np.lexsort((got["w"].to_numpy(), *x.T, got["y"].to_numpy()))  # the order of rows must not matter
+    return fit(x[order], (got["y"].to_numpy() >= 0.5).astype(float)[order], got["w"].to_numpy(float)[order])
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
