@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, decontamination, html, mixing, quality_rules, sharding, simhash, suffix_dedup, tokens
+from . import (
+    chat,
+    chosen_path,
+    classifier,
+    decontamination,
+    html,
+    importance,
+    mixing,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    tokens,
+    whitening,
+)
 from .common import read_table
 
 QUERIES: dict = {}
@@ -157,3 +171,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = classifier.train(docs, read_table(spark, sf_dir, "labels"))
     return classifier.score(docs, model, keep=["doc_id"])
+
+
+@register("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return done.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@register("op12_importance_resampling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.resample(docs, read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register("op13_minhash")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_dups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
