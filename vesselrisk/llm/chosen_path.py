@@ -10,10 +10,11 @@ record. A record carries ``N_MINHASH`` minwise values of its set.
 2. Nodes of at most ``SMALL`` records are compared exhaustively by their minwise values. Of the pairs that
    agree in ``AGREE`` positions or more (a pair at the threshold agrees in 102 of 128 on average, with a
    deviation of 4.5), a spanning forest by agreement goes on to the check first.
-3. In a larger node all records are compared with one of them, and the node branches on. Nodes whose records
-   are already of one component end: their links could not join anything further.
+3. Nodes whose records are already of one component end: their links could not join anything further. In
+   a larger node with at most ``SMALL`` records outside its largest component, these are compared exhaustively with
+   blocks of the component. In any other larger node all records are compared with one of them, and it branches on.
 4. Candidates are confirmed on the full sets: 100 * intersection >= ``PERCENT`` * union. Confirmed
-   links are contracted to components after each level. In the end the pairs of small nodes that are
+   links are contracted to components after each level. In the end the pairs of compared nodes that are
    still in different components are checked, each once, so a dense group costs about a link per record and not
    all its pairs, and no candidate between different components is left out.
 
@@ -131,7 +132,7 @@ def children(node: np.ndarray, sig: np.ndarray, level: int) -> tuple[np.ndarray,
     return rows, mixed((node[rows] ^ mixed(value * MIX + position.astype(np.uint64))) + np.uint64(level))
 
 
-def _branch(level: int):
+def _branch(level: int, trees: range = range(0)):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -139,8 +140,8 @@ def _branch(level: int):
             sig = signatures(b.column(2))
             node, rec = np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1))
             if level == 0:  # a root a tree
-                roots = mixed(np.arange(1, TREES + 1, dtype=np.uint64))
-                node, rec, sig = np.tile(roots, len(rec)), np.repeat(rec, TREES), np.repeat(sig, TREES, axis=0)
+                roots = mixed(np.array(trees, np.uint64) + np.uint64(1))
+                node, rec, sig = np.tile(roots, len(rec)), np.repeat(rec, len(roots)), np.repeat(sig, len(roots), axis=0)
             rows, child = children(node, sig, level)
             yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(rec[rows])], names=["node", "rec"])
 
@@ -299,34 +300,58 @@ class Join:
         return full.repartition(self.partitions, "node").sortWithinPartitions("node", "rec").mapInArrow(_small_nodes(spanning), "u long, v long")
 
     def run(self) -> None:
-        rows = self.records.select(F.lit(0).cast("long").alias("node"), "rec", "sig").mapInArrow(_branch(0), "node long, rec long")
-        small = []
+        """The first tree on its own: what it links need not be compared in the others."""
+        seen = self.descend(range(1)) + self.descend(range(1, TREES))
+        rest = seen[0]
+        for more in seen[1:]:
+            rest = rest.unionByName(more)
+        parts = self.with_root(rest).groupBy("node").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+        rest = rest.join(cut_lineage(parts.where("r1 < r2").select("node")), "node")
+        self.check(self.compare(rest, False))
+
+    def descend(self, trees: range) -> list[DataFrame]:
+        """Branches until no large node is left; the compared nodes (node, rec) of each level."""
+        roots = self.records.select(F.lit(0).cast("long").alias("node"), "rec", "sig")
+        rows = roots.mapInArrow(_branch(0, trees), "node long, rec long")
+        seen = []
         level = 1
         while True:
             limit = SMALL * 2 ** max(0, level - DEEP)
             rows = cut_lineage(self.with_root(rows))
-            centre = F.min_by("rec", F.xxhash64("rec", "node"))
-            nodes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("r1"), F.max("root").alias("r2"), centre.alias("centre"))
-            nodes = cut_lineage(nodes.where("r1 < r2").select("node", "n", "centre"))  # more than one component
-            few = cut_lineage(rows.join(nodes.where(F.col("n") <= limit).select("node"), "node").select("node", "rec"))
-            many = rows.join(nodes.where(F.col("n") > limit), "node").join(self.records, "rec")
-            small.append(few)
+            per = rows.groupBy("node", "root").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("rec", "node"), "rec")).alias("one"))
+            main = F.max(F.struct("c", "root"))
+            nodes = per.groupBy("node").agg(F.sum("c").alias("n"), F.count("*").alias("parts"), main.alias("main"), F.min("one")["rec"].alias("centre"))
+            nodes = nodes.where("parts > 1").select("node", "n", (F.col("n") - F.col("main.c")).alias("others"), F.col("main.root").alias("main"), "centre")
+            nodes = cut_lineage(nodes)
+            small = rows.join(nodes.where(F.col("n") <= limit).select("node"), "node").select("node", "rec")
+            uneven = rows.join(nodes.where((F.col("n") > limit) & (F.col("others") <= limit)), "node")
+            few = cut_lineage(small.unionByName(blocks(uneven, limit)))
+            seen.append(few)
             pairs = self.compare(few, True)
-            deeper = not nodes.where(F.col("n") > limit).isEmpty()
+            large = nodes.where((F.col("n") > limit) & (F.col("others") > limit))
+            deeper = not large.isEmpty()
             if deeper:
-                many = cut_lineage(many.select("node", "rec", "sig", "centre"))
-                centres = nodes.where(F.col("n") > limit).join(self.records.withColumnRenamed("rec", "centre"), "centre").select("node", F.col("sig").alias("centre_sig"))
+                many = cut_lineage(rows.join(large.select("node", "centre"), "node").join(self.records, "rec").select("node", "rec", "sig", "centre"))
+                centres = large.join(self.records.withColumnRenamed("rec", "centre"), "centre").select("node", F.col("sig").alias("centre_sig"))
                 starred = many.where("rec <> centre").join(centres, "node").select("rec", "sig", "centre", "centre_sig")
                 pairs = pairs.unionByName(starred.mapInArrow(_star, "u long, v long"))
             self.check(pairs)
             if not deeper:
-                break
+                return seen
             rows = many.select("node", "rec", "sig").mapInArrow(_branch(level), "node long, rec long")
             level += 1
-        rest = small[0]
-        for more in small[1:]:
-            rest = rest.unionByName(more)
-        self.check(self.compare(rest, False))
+
+
+def blocks(rows: DataFrame, size: int) -> DataFrame:
+    """Nodes (node, rec, root, n, main) of one large component and few other records as small nodes (node, rec).
+
+    The component's records are dealt out to blocks of about ``size``; the others go to each of these.
+    """
+    n = F.ceil(F.col("n") / size).cast("int")
+    own = F.array(F.pmod(F.xxhash64("rec"), n).cast("int"))
+    every = F.sequence(F.lit(0), n - 1)
+    block = F.explode(F.when(F.col("root") == F.col("main"), own).otherwise(every)).alias("block")
+    return rows.select("node", "rec", block).select(F.xxhash64("node", "block").alias("node"), "rec")
 
 
 def near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
