@@ -9,7 +9,7 @@ record. A record carries ``N_MINHASH`` minwise values of its set.
    probability ``SECOND``, so similar records keep meeting while others part, and rows do not grow.
 2. Nodes of at most ``SMALL`` records are compared exhaustively by their minwise values. Of the pairs that
    agree in ``AGREE`` positions or more (a pair at the threshold agrees in 102 of 128 on average, with a
-   deviation of 4.5), a spanning forest by agreement goes on to the check first.
+   deviation of 4.5; a byte of each value is compared), a spanning forest by agreement goes on to the check first.
 3. Nodes whose records are already of one component end: their links could not join anything further. In
    a larger node with at most ``SMALL`` records outside its largest component, these are compared exhaustively with
    blocks of the component. In any other larger node all records are compared with one of them, and it branches on.
@@ -48,7 +48,7 @@ PERCENT = 80
 N_MINHASH = 128
 AGREE = 82
 TREES = 6
-SMALL = 128
+SMALL = 512
 SECOND = 0.25
 DEEP = 16  # from this level on small nodes may be twice as large with each level, so that the recursion ends
 KNOWN_BYTES = 32 << 20  # record ids are broadcast up to this size
@@ -93,7 +93,7 @@ def minwise(own: np.ndarray) -> np.ndarray:
 
 
 def with_sets(docs: DataFrame, keep: list[str], text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The ``keep`` columns, the text, ``n_shingles``, ``k1`` and ``k2`` (128 bits of the set) and ``sig`` (its minwise values)."""
+    """The ``keep`` columns, the text, ``n_shingles``, ``k1`` and ``k2`` (128 bits of the set), ``sig`` (its minwise values) and ``low`` (a byte of each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,20 +104,21 @@ def with_sets(docs: DataFrame, keep: list[str], text: str = "text", shingle: int
                         own = shingle_set(t, hashes, shingle)
                         raw = own.tobytes()
                         keys = (xxhash.xxh64_intdigest(raw, 1), xxhash.xxh64_intdigest(raw, 2)) if len(own) else (0, 0)
-                        done[t] = (len(own), *keys, minwise(own).tobytes() if len(own) else None)
-                n, k1, k2, sig = zip(*[done[t] for t in texts])
+                        least = minwise(own) if len(own) else None
+                        done[t] = (len(own), *keys, None if least is None else least.tobytes(), None if least is None else least.astype(np.uint8).tobytes())
+                n, k1, k2, sig, low = zip(*[done[t] for t in texts])
                 signed = lambda k: pa.array(np.array(k, np.uint64).view(np.int64))
-                new = {"n_shingles": pa.array(n, pa.int64()), "k1": signed(k1), "k2": signed(k2), "sig": pa.array(sig, pa.binary())}
+                new = {"n_shingles": pa.array(n, pa.int64()), "k1": signed(k1), "k2": signed(k2), "sig": pa.array(sig, pa.binary()), "low": pa.array(low, pa.binary())}
                 yield with_columns(piece, [*keep, text], new)
 
-    own = [T.StructField("n_shingles", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sig", T.BinaryType())]
+    own = [T.StructField("n_shingles", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sig", T.BinaryType()), T.StructField("low", T.BinaryType())]
     schema = T.StructType([docs.schema[c] for c in [*keep, text]] + own)
     return docs.select(*[F.col(f"`{c}`") for c in [*keep, text]]).mapInArrow(run, schema)
 
 
-def signatures(column: pa.Array) -> np.ndarray:
+def signatures(column: pa.Array, dtype=np.uint32) -> np.ndarray:
     """Binary minwise values as a matrix of (row, position)."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), N_MINHASH)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), N_MINHASH)
 
 
 def children(node: np.ndarray, sig: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,11 +188,11 @@ def forest(rec: np.ndarray, node: np.ndarray, root: np.ndarray, a: np.ndarray, b
 
 
 def _small_nodes(spanning: bool):
-    """Rows (node, rec, root, sig), sorted by node, to candidate pairs; whole nodes, a buffer at a time."""
+    """Rows (node, rec, root, low), sorted by node, to candidate pairs; whole nodes, a buffer at a time."""
 
     def out(t: pa.Table) -> pa.RecordBatch:
         node, rec, root = (t.column(c).to_numpy() for c in ("node", "rec", "root"))
-        a, b, n = agreeing(node, root, signatures(t.column("sig").combine_chunks()))
+        a, b, n = agreeing(node, root, signatures(t.column("low").combine_chunks(), np.uint8))
         if spanning and len(a):
             on = forest(rec, node, root, a, b, n)
             a, b = a[on], b[on]
@@ -218,12 +219,12 @@ def _small_nodes(spanning: bool):
 
 
 def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (rec, sig, centre, centre's sig) to the pairs that agree."""
+    """Rows (rec, low, centre, centre's low) to the pairs that agree."""
     for b in batches:
         if not b.num_rows:
             continue
         rec, centre = np.asarray(b.column(0)), np.asarray(b.column(2))
-        on = (signatures(b.column(1)) == signatures(b.column(3))).sum(axis=1) >= AGREE
+        on = (signatures(b.column(1), np.uint8) == signatures(b.column(3), np.uint8)).sum(axis=1) >= AGREE
         u, v = np.minimum(rec, centre)[on], np.maximum(rec, centre)[on]
         yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
@@ -264,7 +265,7 @@ def _confirm(percent: int):
 
 
 class Join:
-    """The state of one join: records (rec, sig), their texts, checked pairs and the components of the links so far."""
+    """The state of one join: records (rec, sig, low), their texts, checked pairs and the components of the links so far."""
 
     def __init__(self, records: DataFrame, texts: DataFrame, shingle: int, percent: int):
         self.spark, self.records, self.texts = records.sparkSession, records, texts
@@ -279,24 +280,24 @@ class Join:
     def check(self, pairs: DataFrame) -> None:
         """Confirms new pairs on the full sets and contracts what they link."""
         new = cut_lineage(pairs.distinct().join(self.checked.select("u", "v"), ["u", "v"], "left_anti"))
-        ids = cut_lineage(new.select(F.col("u").alias("rec")).unionByName(new.select(F.col("v").alias("rec"))).distinct())
-        n = ids.count()
+        n = new.count()
         if not n:
             return
-        few = n * 8 <= KNOWN_BYTES
+        few = 2 * n * 8 <= KNOWN_BYTES
+        ids = new.select(F.explode(F.array("u", "v")).alias("rec")).distinct()
         wanted = self.texts.join(F.broadcast(ids) if few else ids, "rec", "left_semi")
         sets = cut_lineage(wanted.select("rec", "text").mapInArrow(_sets(self.shingle), "rec long, own binary"))
         one = new.join(sets.select(F.col("rec").alias("u"), F.col("own").alias("own_u")), "u")
         both = one.join(sets.select(F.col("rec").alias("v"), F.col("own").alias("own_v")), "v")
         done = cut_lineage(both.select("u", "v", "own_u", "own_v").mapInArrow(_confirm(self.percent), "u long, v long, linked boolean"))
-        self.checked = cut_lineage(self.checked.unionByName(done))
+        self.checked = self.checked.unionByName(done)
         old = self.roots.select(F.col("rec").alias("u"), F.col("root").alias("v"))
         edges = old.unionByName(done.where("linked").select(F.col("v").alias("u"), F.col("u").alias("v")))
-        self.roots = cut_lineage(components(edges).select(F.col("node").alias("rec"), "root"))
+        self.roots = components(edges).select(F.col("node").alias("rec"), "root")
 
     def compare(self, rows: DataFrame, spanning: bool) -> DataFrame:
         """Candidate pairs of small nodes (node, rec)."""
-        full = self.with_root(rows).join(self.records, "rec").select("node", "rec", "root", "sig")
+        full = self.with_root(rows).join(self.records.select("rec", "low"), "rec").select("node", "rec", "root", "low")
         return full.repartition(self.partitions, "node").sortWithinPartitions("node", "rec").mapInArrow(_small_nodes(spanning), "u long, v long")
 
     def run(self) -> None:
@@ -325,15 +326,15 @@ class Join:
             nodes = cut_lineage(nodes)
             small = rows.join(nodes.where(F.col("n") <= limit).select("node"), "node").select("node", "rec")
             uneven = rows.join(nodes.where((F.col("n") > limit) & (F.col("others") <= limit)), "node")
-            few = cut_lineage(small.unionByName(blocks(uneven, limit)))
+            few = small.unionByName(blocks(uneven, limit))
             seen.append(few)
             pairs = self.compare(few, True)
             large = nodes.where((F.col("n") > limit) & (F.col("others") > limit))
             deeper = not large.isEmpty()
             if deeper:
-                many = cut_lineage(rows.join(large.select("node", "centre"), "node").join(self.records, "rec").select("node", "rec", "sig", "centre"))
-                centres = large.join(self.records.withColumnRenamed("rec", "centre"), "centre").select("node", F.col("sig").alias("centre_sig"))
-                starred = many.where("rec <> centre").join(centres, "node").select("rec", "sig", "centre", "centre_sig")
+                many = cut_lineage(rows.join(large.select("node", "centre"), "node").join(self.records, "rec").select("node", "rec", "sig", "low", "centre"))
+                centres = many.where("rec = centre").select("node", F.col("low").alias("centre_low"))
+                starred = many.where("rec <> centre").join(centres, "node").select("rec", "low", "centre", "centre_low")
                 pairs = pairs.unionByName(starred.mapInArrow(_star, "u long, v long"))
             self.check(pairs)
             if not deeper:
@@ -367,7 +368,7 @@ def near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
     recs = keyed.select(F.col("rec").alias("at"))
     few = recs.count() * 8 <= KNOWN_BYTES
     path = shared_path(spark, "records")
-    base.select("at", "sig").join(F.broadcast(recs) if few else recs, "at", "left_semi").select(F.col("at").alias("rec"), "sig").write.parquet(path)
+    base.select("at", "sig", "low").join(F.broadcast(recs) if few else recs, "at", "left_semi").select(F.col("at").alias("rec"), "sig", "low").write.parquet(path)
     join = Join(spark.read.parquet(path), base.select(F.col("at").alias("rec"), "text"), shingle, percent)
     join.run()
     rooted = keyed.join(join.roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
