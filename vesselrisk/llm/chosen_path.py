@@ -15,8 +15,8 @@ record. A record carries ``N_MINHASH`` minwise values of its set.
    blocks of the component. In any other larger node all records are compared with one of them, and it branches on.
 4. Candidates are confirmed on the full sets: 100 * intersection >= ``PERCENT`` * union. Confirmed
    links are contracted to components after each level. In the end the pairs of compared nodes that are
-   still in different components are checked, each once, so a dense group costs about a link per record and not
-   all its pairs, and no candidate between different components is left out.
+   still in different components are confirmed inside the node's task, where each such record's set comes once, so no
+   candidate between different components is left out and nothing emits all pairs of a group.
 
 A pair at the threshold stays together in a tree's first level with probability 0.96 and over five levels with about 0.7;
 six trees lose it with probability under 1e-8 and 1e-3, a more similar one far less. Records that are linked to
@@ -46,12 +46,12 @@ from .simhash import LOWER, Roots
 SHINGLE = 4
 PERCENT = 80
 N_MINHASH = 128
-AGREE = 82
+AGREE = 86
 TREES = 6
 SMALL = 512
 SECOND = 0.25
 DEEP = 16  # from this level on small nodes may be twice as large with each level, so that the recursion ends
-KNOWN_BYTES = 32 << 20  # record ids are broadcast up to this size
+KNOWN_BYTES = 8 << 20  # record ids are broadcast up to this size
 SEED = 13
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FACTORS = np.random.default_rng(SEED).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -149,15 +149,16 @@ def _branch(level: int, trees: range = range(0)):
     return run
 
 
-def agreeing(node: np.ndarray, root: np.ndarray, sig: np.ndarray, least: int = AGREE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, row, agreeing positions) of all pairs within a node and between components; rows are sorted by node."""
+def agreeing(node: np.ndarray, root: np.ndarray, sig: np.ndarray, size: np.ndarray, percent: int, least: int = AGREE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, row, agreeing positions) of all pairs within a node, between components and of sizes that may be similar; rows are sorted by node."""
     found = []
     a = np.arange(len(node) - 1)
     step = 1
     while len(a):
         a = a[a + step < len(node)]
         a = a[node[a] == node[a + step]]
-        other = a[root[a] != root[a + step]]
+        low, high = np.minimum(size[a], size[a + step]), np.maximum(size[a], size[a + step])
+        other = a[(root[a] != root[a + step]) & (100 * low >= percent * high)]
         for i in range(0, len(other), 1 << 14):
             x = other[i : i + (1 << 14)]
             n = (sig[x] == sig[x + step]).sum(axis=1)
@@ -187,33 +188,86 @@ def forest(rec: np.ndarray, node: np.ndarray, root: np.ndarray, a: np.ndarray, b
     return order[np.concatenate(chosen)] if chosen else np.empty(0, np.int64)
 
 
-def _small_nodes(spanning: bool):
-    """Rows (node, rec, root, low), sorted by node, to candidate pairs; whole nodes, a buffer at a time."""
+def by_node(batches: Iterator[pa.RecordBatch], rows: int = 1 << 14, most: int = 32 << 20) -> Iterator[pa.Table]:
+    """Rows that come sorted by node as tables of whole nodes, a buffer at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1 << 12):
+            held.append(batch.slice(at, 1 << 12))
+            if sum(b.num_rows for b in held) < rows and sum(b.get_total_buffer_size() // max(1, len(held)) for b in held) < most:
+                continue
+            t = pa.Table.from_batches(held).combine_chunks()
+            node = t.column("node").to_numpy()
+            other = np.nonzero(node != node[-1])[0]
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield t.slice(0, cut).combine_chunks()
+            held = t.slice(cut).combine_chunks().to_batches()
+    if held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _pairs(t: pa.Table, percent: int) -> tuple[np.ndarray, ...]:
+    node, rec, root, size = (t.column(c).to_numpy() for c in ("node", "rec", "root", "size"))
+    return node, rec, root, *agreeing(node, root, signatures(t.column("low").combine_chunks(), np.uint8), size, percent)
+
+
+def _candidates(percent: int):
+    """Rows (node, rec, root, size, low), sorted by node, to each node's pairs that span its components, and to the records with a candidate.
+
+    ``u`` and ``v`` are a pair, or ``v`` is null and ``u`` a record of ``node``.
+    """
 
-    def out(t: pa.Table) -> pa.RecordBatch:
-        node, rec, root = (t.column(c).to_numpy() for c in ("node", "rec", "root"))
-        a, b, n = agreeing(node, root, signatures(t.column("low").combine_chunks(), np.uint8))
-        if spanning and len(a):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in by_node(batches):
+            node, rec, root, a, b, n = _pairs(t, percent)
+            if not len(a):
+                continue
             on = forest(rec, node, root, a, b, n)
-            a, b = a[on], b[on]
-        u, v = np.minimum(rec[a], rec[b]), np.maximum(rec[a], rec[b])
-        both = np.unique(np.stack([u, v]), axis=1) if len(u) else np.empty((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], names=["u", "v"])
+            both = np.unique(np.stack([np.minimum(rec[a[on]], rec[b[on]]), np.maximum(rec[a[on]], rec[b[on]])]), axis=1)
+            own = np.unique(np.concatenate([a, b]))
+            u, v = np.concatenate([both[0], rec[own]]), np.concatenate([both[1], rec[own]])
+            of_pair = np.arange(len(u)) < both.shape[1]
+            where = np.concatenate([np.zeros(both.shape[1], np.int64), node[own]])
+            yield pa.RecordBatch.from_arrays([pa.array(where, mask=of_pair), pa.array(u), pa.array(v, mask=~of_pair)], names=["node", "u", "v"])
+
+    return run
+
+
+def similar(x: bytes, y: bytes, percent: int) -> bool:
+    """100 * intersection >= percent * union, of sorted distinct hashes as bytes."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    low, high = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(low) < percent * len(high):
+        return False
+    place = np.minimum(np.searchsorted(high, low), len(high) - 1)
+    both = int((high[place] == low).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _confirm_nodes(percent: int):
+    """Rows (node, rec, root, size, low, own), sorted by node, to links that span what is linked within a buffer of nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= 1 << 14:
-                t = pa.Table.from_batches(held).combine_chunks()
-                node = t.column("node").to_numpy()
-                other = np.nonzero(node != node[-1])[0]
-                cut = int(other[-1]) + 1 if len(other) else 0
-                if cut:
-                    yield out(t.slice(0, cut).combine_chunks())
-                held = t.slice(cut).combine_chunks().to_batches()
-        if held and sum(b.num_rows for b in held):
-            yield out(pa.Table.from_batches(held).combine_chunks())
+        for t in by_node(batches):
+            _, rec, root, a, b, n = _pairs(t, percent)
+            own = t.column("own").combine_chunks()
+            top: dict[int, int] = {}
+
+            def find(r: int) -> int:
+                while top.setdefault(r, r) != r:
+                    top[r] = top[top[r]]
+                    r = top[r]
+                return r
+
+            u, v = [], []
+            for i in np.argsort(-n, kind="stable").tolist():
+                x, y = find(int(root[a[i]])), find(int(root[b[i]]))
+                if x != y and similar(own[int(a[i])].as_py(), own[int(b[i])].as_py(), percent):
+                    top[x] = y
+                    u.append(min(rec[a[i]], rec[b[i]]))
+                    v.append(max(rec[a[i]], rec[b[i]]))
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return run
 
@@ -249,23 +303,14 @@ def _confirm(percent: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 b = batch.slice(at, 64)
-                on = []
-                for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    low, high = (x, y) if len(x) <= len(y) else (y, x)
-                    if 100 * len(low) < percent * len(high):
-                        on.append(False)
-                        continue
-                    place = np.minimum(np.searchsorted(high, low), len(high) - 1)
-                    both = int((high[place] == low).sum())
-                    on.append(100 * both >= percent * (len(x) + len(y) - both))
+                on = [similar(x, y, percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(on, pa.bool_())], names=["u", "v", "linked"])
 
     return run
 
 
 class Join:
-    """The state of one join: records (rec, sig, low), their texts, checked pairs and the components of the links so far."""
+    """The state of one join: records (rec, size, sig, low), their texts, checked pairs and the components of the links so far."""
 
     def __init__(self, records: DataFrame, texts: DataFrame, shingle: int, percent: int):
         self.spark, self.records, self.texts = records.sparkSession, records, texts
@@ -277,28 +322,36 @@ class Join:
     def with_root(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
 
+    def sets_of(self, ids: DataFrame, few: bool) -> DataFrame:
+        wanted = self.texts.join(F.broadcast(ids) if few else ids, "rec", "left_semi")
+        return cut_lineage(wanted.select("rec", "text").mapInArrow(_sets(self.shingle), "rec long, own binary"))
+
+    def contract(self, links: DataFrame) -> None:
+        """``links`` (u, v), u < v, join their components."""
+        old = self.roots.select(F.col("rec").alias("u"), F.col("root").alias("v"))
+        edges = old.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        self.roots = components(edges).select(F.col("node").alias("rec"), "root")
+
     def check(self, pairs: DataFrame) -> None:
         """Confirms new pairs on the full sets and contracts what they link."""
         new = cut_lineage(pairs.distinct().join(self.checked.select("u", "v"), ["u", "v"], "left_anti"))
         n = new.count()
         if not n:
             return
-        few = 2 * n * 8 <= KNOWN_BYTES
-        ids = new.select(F.explode(F.array("u", "v")).alias("rec")).distinct()
-        wanted = self.texts.join(F.broadcast(ids) if few else ids, "rec", "left_semi")
-        sets = cut_lineage(wanted.select("rec", "text").mapInArrow(_sets(self.shingle), "rec long, own binary"))
+        sets = self.sets_of(new.select(F.explode(F.array("u", "v")).alias("rec")).distinct(), 2 * n * 8 <= KNOWN_BYTES)
         one = new.join(sets.select(F.col("rec").alias("u"), F.col("own").alias("own_u")), "u")
         both = one.join(sets.select(F.col("rec").alias("v"), F.col("own").alias("own_v")), "v")
         done = cut_lineage(both.select("u", "v", "own_u", "own_v").mapInArrow(_confirm(self.percent), "u long, v long, linked boolean"))
         self.checked = self.checked.unionByName(done)
-        old = self.roots.select(F.col("rec").alias("u"), F.col("root").alias("v"))
-        edges = old.unionByName(done.where("linked").select(F.col("v").alias("u"), F.col("u").alias("v")))
-        self.roots = components(edges).select(F.col("node").alias("rec"), "root")
+        self.contract(done.where("linked"))
 
-    def compare(self, rows: DataFrame, spanning: bool) -> DataFrame:
-        """Candidate pairs of small nodes (node, rec)."""
-        full = self.with_root(rows).join(self.records.select("rec", "low"), "rec").select("node", "rec", "root", "low")
-        return full.repartition(self.partitions, "node").sortWithinPartitions("node", "rec").mapInArrow(_small_nodes(spanning), "u long, v long")
+    def full_rows(self, rows: DataFrame) -> DataFrame:
+        return self.with_root(rows).join(self.records.select("rec", "size", "low"), "rec").select("node", "rec", "root", "size", "low")
+
+    def compare(self, rows: DataFrame) -> DataFrame:
+        """Spanning pairs (u, v) of small nodes (node, rec), and the records (node, u) with a candidate."""
+        dealt = self.full_rows(rows).repartition(self.partitions, "node").sortWithinPartitions("node", "rec")
+        return cut_lineage(dealt.mapInArrow(_candidates(self.percent), "node long, u long, v long"))
 
     def run(self) -> None:
         """The first tree on its own: what it links need not be compared in the others."""
@@ -306,9 +359,16 @@ class Join:
         rest = seen[0]
         for more in seen[1:]:
             rest = rest.unionByName(more)
-        parts = self.with_root(rest).groupBy("node").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-        rest = rest.join(cut_lineage(parts.where("r1 < r2").select("node")), "node")
-        self.check(self.compare(rest, False))
+        rooted = self.with_root(rest)
+        open_nodes = rooted.groupBy("node").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2").select("node")
+        rest = cut_lineage(rest.join(open_nodes, "node"))
+        n = rest.count()
+        if not n:
+            return
+        sets = self.sets_of(rest.select("rec").distinct(), n * 8 <= KNOWN_BYTES)
+        full = self.full_rows(rest).join(sets, "rec").select("node", "rec", "root", "size", "low", "own")
+        dealt = full.repartition(self.partitions, "node").sortWithinPartitions("node", "rec")
+        self.contract(dealt.mapInArrow(_confirm_nodes(self.percent), "u long, v long"))
 
     def descend(self, trees: range) -> list[DataFrame]:
         """Branches until no large node is left; the compared nodes (node, rec) of each level."""
@@ -327,8 +387,9 @@ class Join:
             small = rows.join(nodes.where(F.col("n") <= limit).select("node"), "node").select("node", "rec")
             uneven = rows.join(nodes.where((F.col("n") > limit) & (F.col("others") <= limit)), "node")
             few = small.unionByName(blocks(uneven, limit))
-            seen.append(few)
-            pairs = self.compare(few, True)
+            found = self.compare(few)
+            seen.append(found.where("v is null").select("node", F.col("u").alias("rec")))
+            pairs = found.where("v is not null").select("u", "v")
             large = nodes.where((F.col("n") > limit) & (F.col("others") > limit))
             deeper = not large.isEmpty()
             if deeper:
@@ -368,7 +429,7 @@ def near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
     recs = keyed.select(F.col("rec").alias("at"))
     few = recs.count() * 8 <= KNOWN_BYTES
     path = shared_path(spark, "records")
-    base.select("at", "sig", "low").join(F.broadcast(recs) if few else recs, "at", "left_semi").select(F.col("at").alias("rec"), "sig", "low").write.parquet(path)
+    base.select("at", "n_shingles", "sig", "low").join(F.broadcast(recs) if few else recs, "at", "left_semi").select(F.col("at").alias("rec"), F.col("n_shingles").alias("size"), "sig", "low").write.parquet(path)
     join = Join(spark.read.parquet(path), base.select(F.col("at").alias("rec"), "text"), shingle, percent)
     join.run()
     rooted = keyed.join(join.roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
