@@ -75,6 +75,19 @@ def test_mix_splits_equal_rows_exactly(spark):
     assert sum(r.taken for r in got if r.source == "small") == 563  # 562.5 rounded up by Spark
 
 
+def test_mix_on_other_splits(spark, tmp_path):
+    """Files that are cut into other splits when they are read again: the same rows and words are taken."""
+    rows = spark.range(600).selectExpr("id % 500 AS doc_id", "repeat('a ', cast(id % 7 AS int) + 1) AS text", "if(id % 5 = 0, 'x', null) AS source")
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    rows.coalesce(1).write.parquet(one)
+    rows.repartition(23).write.parquet(many)
+    got = [sorted(((r.doc_id, r.source, r.taken) for r in mixing.mix(spark.read.parquet(p), [5.0, 2.0], max_epochs=1).collect()), key=str) for p in (one, many)]
+    assert got[0] == got[1]
+    for p in (one, many):
+        by = mixing.mix(spark.read.parquet(p), [5.0, 2.0]).groupBy("source").agg({"taken": "sum", "budget": "max"}).collect()
+        assert all(r["sum(taken)"] == r["max(budget)"] for r in by)
+
+
 def test_mix_of_nothing(none):
     assert mixing.mix(none, [1.0]).count() == 0
 

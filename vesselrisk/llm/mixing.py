@@ -11,9 +11,9 @@ Only a slim table (source, key, size) is shuffled, and aggregated before that; w
 comes back is one cut per source, which every document is compared with, so texts
 are never shuffled and a hot source costs no more than its share.
 
-Rows that agree in key (same id and text) are told apart by a second key from their
-place in the input; as they are equal, the result does not depend on which of them
-comes first. The input has to be replayable (files or a checkpoint).
+The key depends on the row alone (id and text), so a second scan that is split otherwise gives the
+same. Equal rows at a cut are written once with numbers and take turns; as they are equal, the
+result does not depend on which of them comes first.
 
 Defined results: null text has size 0; null source is a source of its own, last; null
 ids are ids; an empty table gives an empty one; a mix of size 0 takes nothing; input
@@ -66,10 +66,10 @@ def targets(sizes: DataFrame, weights: list[float], max_epochs: int) -> DataFram
     return shared.select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(free * F.col("w")).alias("target"))
 
 
-def _cut(slim: DataFrame, key: str, budgets: DataFrame, ranges: int) -> DataFrame:
-    """Per source the key where the prefix sum of sizes passes ``rest``: (source, at, rest left for the rows with that key)."""
+def _cut(slim: DataFrame, budgets: DataFrame, ranges: int) -> DataFrame:
+    """Per source the key where the prefix sum of sizes passes ``rest``: (source, at, words left for the rows with that key, number of these rows)."""
     upto = Window.partitionBy("source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranged = slim.withColumn("range", F.floor(F.col(key) / F.lit(float((1 << 60) / ranges))))
+    ranged = slim.withColumn("range", F.floor(F.col("k") / F.lit(float((1 << 60) / ranges))))
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("s"))
     falls = (
         sums.withColumn("upto", F.sum("s").over(upto.orderBy("range")))
@@ -78,11 +78,11 @@ def _cut(slim: DataFrame, key: str, budgets: DataFrame, ranges: int) -> DataFram
         .select(F.col("source").alias("f_source"), F.col("range").alias("f_range"), (F.col("rest") - F.col("upto") + F.col("s")).alias("rest"))
     )
     inside = ranged.join(falls, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("range") == F.col("f_range")))
-    keys = inside.groupBy("source", key).agg(F.sum("size").alias("s"), F.first("rest").alias("rest"))
+    keys = inside.groupBy("source", "k").agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.first("rest").alias("rest"))
     return (
-        keys.withColumn("upto", F.sum("s").over(upto.orderBy(key)))
+        keys.withColumn("upto", F.sum("s").over(upto.orderBy("k")))
         .where("upto - s < rest and rest <= upto")
-        .select("source", F.col(key).alias("at"), (F.col("rest") - F.col("upto") + F.col("s")).alias("rest"))
+        .select("source", F.col("k").alias("at"), (F.col("rest") - F.col("upto") + F.col("s")).alias("left_over"), F.col("n").alias("ties"))
     )
 
 
@@ -94,12 +94,13 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    rows_per_range: int = 4096,
+    ranges: int | None = None,
 ) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``budget`` (the target in whole words), ``epochs``
     (whole times the row is taken), ``last`` (words of it in the last, cut epoch) and ``taken`` = epochs * size + last."""
     src, ident = F.col(f"`{source}`"), (F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
-    own = [n_words(F.col(f"`{text}`")).alias("size"), random_key(seed, *ident).alias("k"), random_key(seed + 1, F.monotonically_increasing_id()).alias("k2")]
+    # Both depend on the row alone, so a second scan that is split otherwise gives the same.
+    own = [n_words(F.col(f"`{text}`")).alias("size"), random_key(seed, *ident).alias("k")]
     slim = cut_lineage(docs.select(src.alias("source"), *own))
     totals = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     budget = F.round("target").cast("long")
@@ -110,33 +111,38 @@ def mix(
         .withColumn("epochs", F.floor(F.col("budget") / size1))
         .withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_size"))
     )
-    ranges = max(1, math.ceil((slim.count() or 1) / rows_per_range))
+    ranges = ranges or max(1, math.isqrt(slim.count()))  # so many sums a source, and about so many rows in the range of its cut
     rest = plan.where("rest > 0").select("source", "rest")
-    at = cut_lineage(_cut(slim, "k", rest, ranges))
-    # Rows with the very key of the cut: equal rows, put in order by their second key.
-    tied = slim.join(
-        at.select(F.col("source").alias("a_source"), "at"), F.col("source").eqNullSafe(F.col("a_source")) & (F.col("k") == F.col("at"))
-    ).select("source", "size", "k2")
-    at2 = _cut(tied, "k2", at.select("source", "rest"), ranges)
+    at = _cut(slim, rest, ranges)
     cuts = cut_lineage(
         plan.select(F.col("source").alias("c_source"), "source_size", "target", "budget", "epochs")
-        .join(at.select(F.col("source").alias("s1"), F.col("at").alias("at1")), F.col("c_source").eqNullSafe(F.col("s1")), "left")
-        .join(at2.select(F.col("source").alias("s2"), F.col("at").alias("at2"), F.col("rest").alias("left_over")), F.col("c_source").eqNullSafe(F.col("s2")), "left")
-        .drop("s1", "s2")
+        .join(at.withColumnRenamed("source", "s1"), F.col("c_source").eqNullSafe(F.col("s1")), "left")
+        .drop("s1")
     )
     # One row per source. So few are broadcast; more are joined as any other table.
     cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_SOURCES else cuts
     keep = F.struct(*replaced(docs, OUTPUTS))
     rows = docs.select(keep.alias("row"), src.alias("source"), *own)
-    last = (
-        F.when(F.col("at1").isNull() | (F.col("k") > F.col("at1")), F.lit(0))
-        .when(F.col("k") < F.col("at1"), F.col("size"))
-        .when(F.col("k2") < F.col("at2"), F.col("size"))
-        .when(F.col("k2") > F.col("at2"), F.lit(0))
-        .otherwise(F.least(F.col("left_over"), F.col("size")))
-    )
-    return (
-        rows.join(cuts, F.col("source").eqNullSafe(F.col("c_source")), "left")
-        .withColumn("last", last.cast("long"))
-        .select("row.*", "size", "source_size", "target", "budget", (F.col("epochs") * F.col("size") + F.col("last")).alias("taken"), "epochs", "last")
-    )
+    # The row with the cut's very key gets the words that are left. There may be more rows with it: equal ones.
+    last = F.when(F.col("at").isNull() | (F.col("k") > F.col("at")), F.lit(0)).when(F.col("k") < F.col("at"), F.col("size")).otherwise(F.least("left_over", "size"))
+    joined = rows.join(cuts, F.col("source").eqNullSafe(F.col("c_source")), "left")
+    done = joined.withColumn("last", last.cast("long"))
+    if not cuts.where("ties > 1").isEmpty():
+        tied = F.coalesce((F.col("k") == F.col("at")) & (F.col("ties") > 1), F.lit(False))
+        done = done.where(~tied).unionByName(_in_turn(joined.where(tied)))
+    return done.select("row.*", "size", "source_size", "target", "budget", (F.col("epochs") * F.col("size") + F.col("last")).alias("taken"), "epochs", "last")
+
+
+def _in_turn(tied: DataFrame) -> DataFrame:
+    """Rows of a source with one key take turns until ``left_over`` is used up: adds ``last``.
+
+    They are written once with their number; a source's numbers go on over the partitions.
+    """
+    placed = cut_lineage(tied.withColumn("id", F.monotonically_increasing_id())).withColumn("part", F.shiftright("id", 33))
+    of_part = placed.groupBy("source", "part").count()  # a row a partition and source
+    before = F.sum("count").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = of_part.select(F.col("source").alias("o_source"), F.col("part").alias("o_part"), F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("source", "part").orderBy("id")) - 1
+    numbered = placed.withColumn("inside", inside).join(offsets, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("part") == F.col("o_part")))
+    left = F.col("left_over") - (F.col("before") + F.col("inside")) * F.col("size")
+    return numbered.withColumn("last", F.greatest(F.least(left, F.col("size")), F.lit(0)).cast("long")).drop("id", "part", "inside", "o_source", "o_part", "before")
