@@ -17,8 +17,9 @@ distance that n words of a usual document have on average. A text goes if its di
 exceeds the root of that by over ``SIGMAS`` relative standard deviations, so short texts,
 in which a share may be far off by chance, have the wider limit. There is no fixed word cutoff.
 
-Everything of a document is worked out inside its row, so texts are never shuffled;
-the corpus is read twice. Windows are compared by 64-bit hashes, within one text.
+Everything of a document is worked out inside its row, so texts are never shuffled, and once:
+counts and histograms are written as slim rows, from which the references are gathered and
+which are judged. Windows are compared by 64-bit hashes, within one text.
 
 Defined results: a null text has no words and fails the base rules; null languages are
 a language of their own; an empty table gives an empty one; repeated rows are judged
@@ -32,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, replaced, word_array
+from .common import cut_lineage, replaced, shared_path, word_array
 
 # Frequent function words of English, German, French and Spanish.
 COMMON_WORDS = (
@@ -62,13 +63,16 @@ def dup_lines(text: Column) -> Column:
 
 
 def windows(words: Column) -> Column:
-    """(hash, position) of the three-word windows, sorted."""
+    """Hashes of the three-word windows in order of the text."""
     n = F.size(words)
     zipped = F.arrays_zip(words.alias("a"), F.slice(words, 2, F.greatest(n, F.lit(1))).alias("b"), F.slice(words, 3, F.greatest(n, F.lit(1))).alias("c"))
-    keys = F.transform(
-        F.slice(zipped, 1, F.greatest(n - 2, F.lit(0))), lambda x, i: F.struct(F.xxhash64(x["a"], x["b"], x["c"]).alias("h"), i.alias("i"))
-    )
-    return F.sort_array(keys)
+    return F.transform(F.slice(zipped, 1, F.greatest(n - 2, F.lit(0))), lambda x: F.xxhash64(x["a"], x["b"], x["c"]))
+
+
+def placed(hashes: Column) -> Column:
+    """(hash, position), sorted, if any window occurs twice; else nothing."""
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), pairs).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
 
 
 def repeated_at(sorted_windows: Column) -> Column:
@@ -106,7 +110,7 @@ def histograms(docs: DataFrame, text: str) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     is_common = lambda w: w.isin(COMMON_WORDS)
     plain = lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?")))
-    count = F.transform("distinct", lambda v: F.struct(v.alias("w"), F.size(F.filter("hits", lambda x: x == v)).alias("c")))
+    count = F.transform("distinct", lambda v: F.struct(v.alias("w"), (F.size("hits") - F.size(F.array_remove("hits", v))).alias("c")))
     others = F.struct(F.lit("").alias("w"), (F.col("n_words") - F.size("hits")).cast("int").alias("c"))
     # One step a column: an expression that is used inside a lambda would be worked out for each element.
     return (
@@ -125,8 +129,16 @@ def histograms(docs: DataFrame, text: str) -> DataFrame:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per language, and one with ``whole`` for the corpus: mean histograms over its documents that are long enough, and word limits by length."""
-    each = histograms(docs.select(F.col(f"`{lang}`").alias("r_lang"), F.col(f"`{text}`").alias("text")), "text").where("long_enough")
+    """As ``references_of`` for documents."""
+    return references_of(histograms(docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")), "text"))
+
+
+def references_of(counted: DataFrame) -> DataFrame:
+    """One row per language, and one with ``whole`` for the corpus: mean histograms over its documents that are long enough, and word limits by length.
+
+    ``counted`` has ``lang`` and the columns of ``histograms``.
+    """
+    each = counted.where("long_enough").withColumnRenamed("lang", "r_lang")
     # One pass: words as they are, character classes as "#0", "#1" .., the documents themselves as "#n".
     classes = F.transform("chars", lambda p, i: F.struct(F.concat(F.lit("#"), i.cast("string")).alias("w"), p.alias("p")))
     entries = F.concat("common", classes, F.array(F.struct(F.lit("#n").alias("w"), F.lit(1.0).alias("p"))))
@@ -201,27 +213,33 @@ def _js_entries(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFrame | None = None) -> DataFrame:
-    """``docs`` with the counts, ``base_failed``, both distances (null under the guards) and ``kept``."""
-    refs = cut_lineage(references(docs, text, lang) if refs is None else refs)
-    per_lang = refs.where("not whole").select("r_lang", "r_chars", "r_words", "r_limits")
-    whole = refs.where("whole").first()  # one row: a share per class and common word
-    w_chars = F.array(*[F.lit(x) for x in (whole["r_chars"] if whole else [0.0] * N_CLASSES)])
-    w_words = F.create_map(*[F.lit(x) for kv in (whole["r_words"] if whole else {"": 1.0}).items() for x in kv])
-    w_limits = F.array(*[F.lit(x) for x in (whole["r_limits"] if whole else [1.0] * N_LIMITS)])
-    few = per_lang.count() <= BROADCAST_LANGUAGES  # a few kB a language; more are joined as any other table
-    packed = docs.select(F.struct(*replaced(docs, OUTPUTS)).alias("row"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns (all by default) with the counts, ``base_failed``, both distances (null under the guards) and ``kept``."""
+    held = [F.col(f"`{c}`") for c in keep if c.lower() not in OUTPUTS] if keep is not None else replaced(docs, OUTPUTS)
+    packed = docs.select(F.struct(F.lit(True).alias("vr_in"), *held).alias("row"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in OUTPUTS]
     t = F.coalesce(F.col("text"), F.lit(""))
-    counted = (
+    path = shared_path(docs.sparkSession, "counted")
+    (
         histograms(packed, "text")
         .withColumn("windows", windows(F.col("words")))
-        .withColumn("starts", repeated_at(F.col("windows")))
+        .withColumn("placed", placed(F.col("windows")))
+        .withColumn("starts", repeated_at(F.col("placed")))
         .withColumn("n_repeat_words", covered(F.col("starts")))
         .withColumn("n_symbols", F.regexp_count("rare", F.lit(SYMBOLS)).cast("long"))
         .withColumn("n_dup_lines", dup_lines(t))
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-        .drop("words", "rare", "windows", "starts", "text")
+        .drop("words", "rare", "windows", "placed", "starts", "text")
+        .write.parquet(path)
     )
+    counted = docs.sparkSession.read.parquet(path)
+    refs = cut_lineage(references_of(counted) if refs is None else refs)
+    per_lang = refs.where("not whole").select("r_lang", "r_chars", "r_words", "r_limits")
+    whole = refs.where("whole").first()  # one row: a share per class and common word
+    w_chars = F.array(*[F.lit(x) for x in (whole["r_chars"] if whole else [0.0] * N_CLASSES)])
+    w_words = F.create_map(*[F.lit(x) for kv in (whole["r_words"] if whole else {"": 1.0}).items() for x in kv])
+    w_limits = F.array(*[F.lit(x) for x in (whole["r_limits"] if whole else [1.0] * N_LIMITS)])
+    few = per_lang.count() <= BROADCAST_LANGUAGES  # a few kB a language; more are joined as any other table
     joined = counted.join(F.broadcast(per_lang) if few else per_lang, F.col("lang").eqNullSafe(F.col("r_lang")), "left")
     chars, words = F.coalesce("r_chars", w_chars), F.coalesce("r_words", w_words)
     step = F.floor(STEPS * F.log2(F.col("n_words") / MIN_WORDS)) + 1  # the limit of the next lower length, so the wider one
@@ -233,6 +251,5 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFra
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
         # A generator is a barrier: a filter on ``kept`` would be pushed down otherwise, into the lambdas that it is made from.
         .select("row", F.inline(F.array(F.struct(*OUTPUTS))))
-        .select("row.*", *OUTPUTS)
+        .select(*[F.col(f"row.`{c}`").alias(c) for c in names], *OUTPUTS)
     )
-
