@@ -15,16 +15,24 @@ from vesselrisk.llm import chat, classifier, html, tokens  # noqa: E402
 from vesselrisk.llm.queries import QUERIES, tokenizer_path  # noqa: E402
 
 
-@pytest.fixture(scope="module")
-def plain():
+def tokenizer(control_as_text):
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
+    t.encode_special_tokens = control_as_text
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
-def test_encoder_equals_the_tokenizer(plain):
+@pytest.fixture(scope="module")
+def plain():
+    """As the library encodes by default: control strings in a text are control tokens."""
+    return tokenizer(False)
+
+
+@pytest.mark.parametrize("control_as_text", [False, True])
+def test_encoder_equals_the_tokenizer(control_as_text):
     rng = random.Random(1)
-    enc = tokens.encoder(tokenizer_path())
+    plain = tokenizer(control_as_text)
+    enc = tokens.encoder(tokenizer_path(), control_as_text)
+    assert (50256 in enc.encode(["a <|endoftext|> b"])[0]) != control_as_text
     parts = ["a", "b", " ", " ", "\n", "'", "s", ".", ",", "é", "1", " ", "日", "́", "#", "<|endoftext|>", "THE!!", "word"]
     for _ in range(600):
         texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(15))) for _ in range(3)]

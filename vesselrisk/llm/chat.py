@@ -59,7 +59,7 @@ def write_chats(turns: DataFrame, tokenizer: str, path: str | None = None) -> st
     """Formats ``turns`` (conv_id, turn, role, text) and writes the table of turns; gives its folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = encoder(tokenizer)
+        to_ids = encoder(tokenizer, control_as_text=True)
         for batch in batches:
             for piece, texts in slices(batch, "text", 1 << 20):
                 roles = [r or "" for r in piece.column(2).to_pylist()]
@@ -86,7 +86,7 @@ def write_chats(turns: DataFrame, tokenizer: str, path: str | None = None) -> st
 @lru_cache(maxsize=4)
 def _bytes_of(path: str) -> dict[int, bytes]:
     """The bytes behind each id of a byte-level BPE; reserved ids have none. Kept by the Python worker."""
-    to_ids = encoder(path)
+    to_ids = encoder(path, control_as_text=True)
     back = {c: b for b, c in to_ids.chars.items()}
     return {i: bytes(back[c] for c in word) for word, i in to_ids.tokenizer.get_vocab(with_added_tokens=False).items() if all(c in back for c in word)}
 

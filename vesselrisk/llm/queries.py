@@ -82,7 +82,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    judged = quality_rules.judge(docs)
+    judged = quality_rules.judge(docs, keep=["doc_id"])
     return judged.select("doc_id", *quality_rules.OUTPUTS)
 
 
@@ -137,7 +137,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_suffix_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffix_dedup.dedup(docs).drop("kept")
+    return suffix_dedup.dedup(docs).drop("kept").withColumn("has_repeat", F.col("n_removed") > 0)
 
 
 OP2_SQL = r"""
