@@ -43,7 +43,7 @@ COMMON_WORDS = (
     "el y a los se del las por con no su para al lo como más pero sus una"
 ).split()
 MAX_COMMON = 7  # the longest common word and two marks
-SYMBOLS = "[#*$%&|<>]"
+SYMBOLS = "#*$%&|<>"
 N_CLASSES = 6
 MIN_WORDS = 50
 MIN_CHARS = 200
@@ -63,7 +63,7 @@ def dup_lines(text: Column) -> Column:
 
 
 def windows(words: Column) -> Column:
-    """Hashes of the three-word windows in order of the text."""
+    """Hashes of the three-word windows in order of the text, from ``words`` or hashes of them."""
     n = F.size(words)
     zipped = F.arrays_zip(words.alias("a"), F.slice(words, 2, F.greatest(n, F.lit(1))).alias("b"), F.slice(words, 3, F.greatest(n, F.lit(1))).alias("c"))
     return F.transform(F.slice(zipped, 1, F.greatest(n - 2, F.lit(0))), lambda x: F.xxhash64(x["a"], x["b"], x["c"]))
@@ -91,18 +91,29 @@ def covered(positions: Column, width: int = 3) -> Column:
     return F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def char_histogram(n: Column, word_chars: Column, rare: Column) -> Column:
-    """Shares of: upper case, digits, punctuation, symbols, white space, all other characters.
+def n_of(text: Column, chars: str) -> Column:
+    """How often the given characters occur in the text."""
+    return F.length(text) - F.length(F.translate(text, chars, ""))
+
+
+def char_counts(rare: Column) -> dict[str, Column]:
+    """How many characters of each class but white space and all others.
 
     ``rare`` is the text without the runs of lower-case letters and blanks that make up most of it.
     """
-    upper = F.regexp_count(rare, F.lit("\\p{Lu}"))
-    digits = F.regexp_count(rare, F.lit("[0-9]"))
-    punct = F.regexp_count(rare, F.lit("[.,;:!?'\"()-]"))
-    symbols = F.regexp_count(rare, F.lit("[#*$%&|<>@^~_=+/\\\\{}\\[\\]]"))
+    return {
+        "n_upper": F.regexp_count(rare, F.lit("\\p{Lu}")),
+        "n_digits": n_of(rare, "0123456789"),
+        "n_punct": n_of(rare, ".,;:!?'\"()-"),
+        "n_marks": n_of(rare, "#*$%&|<>@^~_=+/\\{}[]"),
+    }
+
+
+def char_histogram(n: Column, word_chars: Column) -> Column:
+    """Shares of: upper case, digits, punctuation, symbols, white space, all other characters; from the columns of ``char_counts``."""
     space = n - word_chars
-    rest = n - upper - digits - punct - symbols - space
-    return F.transform(F.array(upper, digits, punct, symbols, space, rest), lambda x: x / F.greatest(n, F.lit(1)))
+    rest = n - F.col("n_upper") - F.col("n_digits") - F.col("n_punct") - F.col("n_marks") - space
+    return F.array(*[x / F.greatest(n, F.lit(1)) for x in (F.col("n_upper"), F.col("n_digits"), F.col("n_punct"), F.col("n_marks"), space, rest)])
 
 
 def histograms(docs: DataFrame, text: str) -> DataFrame:
@@ -118,13 +129,15 @@ def histograms(docs: DataFrame, text: str) -> DataFrame:
         .withColumn("n_words", F.size("words").cast("long"))
         .withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
         .withColumn("rare", F.regexp_replace(t, "[a-z\\u00df-\\u00ff \\n]++", ""))
-        .withColumn("chars", char_histogram(F.length(t), F.col("word_chars"), F.col("rare")))
+        .withColumns(char_counts(F.col("rare")))
+        .withColumn("n_all", F.length(t))
+        .withColumn("chars", char_histogram(F.col("n_all"), F.col("word_chars")))
         .withColumn("hits", F.filter(F.transform(F.filter("words", lambda w: F.length(w) <= MAX_COMMON), plain), is_common))
         .withColumn("distinct", F.array_distinct("hits"))
         .withColumn("counts", F.concat(count, F.array(others)))
         .withColumn("common", F.transform("counts", lambda x: F.struct(x["w"].alias("w"), (x["c"] / F.greatest(F.col("n_words"), F.lit(1))).alias("p"))))
-        .withColumn("long_enough", (F.col("n_words") >= MIN_WORDS) & (F.length(t) >= MIN_CHARS))
-        .drop("hits", "distinct", "counts")
+        .withColumn("long_enough", (F.col("n_words") >= MIN_WORDS) & (F.col("n_all") >= MIN_CHARS))
+        .drop("hits", "distinct", "counts", "n_upper", "n_digits", "n_punct", "n_marks", "n_all")
     )
 
 
@@ -205,11 +218,12 @@ def _js_entries(p: Column, q: Column) -> Column:
     """As ``_js_arrays`` for the non-zero entries of ``p``; what ``q`` has besides counts in full."""
 
     def term(x):
-        y = F.coalesce(F.element_at(q, x["w"]), F.lit(0.0))
+        y = x["y"]
         m = (x["p"] + y) / 2
         return F.when(x["p"] > 0, x["p"] * F.log2(x["p"] / m) + F.when(y > 0, y * F.log2(y / m) - y).otherwise(F.lit(0.0))).otherwise(F.lit(0.0))
 
-    total = F.aggregate(F.transform(p, term), F.lit(1.0), lambda a, x: a + x)
+    both = F.transform(p, lambda x: F.struct(x["p"].alias("p"), F.coalesce(F.element_at(q, x["w"]), F.lit(0.0)).alias("y")))  # one look-up a word
+    total = F.aggregate(F.transform(both, term), F.lit(1.0), lambda a, x: a + x)
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
@@ -226,7 +240,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFra
         .withColumn("placed", placed(F.col("windows")))
         .withColumn("starts", repeated_at(F.col("placed")))
         .withColumn("n_repeat_words", covered(F.col("starts")))
-        .withColumn("n_symbols", F.regexp_count("rare", F.lit(SYMBOLS)).cast("long"))
+        .withColumn("n_symbols", n_of(F.col("rare"), SYMBOLS).cast("long"))
         .withColumn("n_dup_lines", dup_lines(t))
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .drop("words", "rare", "windows", "placed", "starts", "text")
