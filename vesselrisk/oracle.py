@@ -30,25 +30,25 @@ SELECT CAST(200000000 + c_custkey AS VARCHAR) AS mmsi, CAST(9000000 + c_custkey
 FROM customer""",
     "detections": """
 SELECT 'D' || event_id AS detection_id,
-       timestamp + CASE WHEN event_id % 7 = 0 THEN INTERVAL 20 MINUTES ELSE INTERVAL 5 HOURS END AS detected_at,
-       lat + CASE WHEN event_id % 7 = 0 THEN CAST(0.02 AS DOUBLE) ELSE CAST(0.1 AS DOUBLE) END AS lat, lon
-FROM ais_positions WHERE event_id % 7 IN (0, 3)""",
+       timestamp + CASE WHEN nav_status IN (0, 5) THEN INTERVAL 20 MINUTES ELSE INTERVAL 5 HOURS END AS detected_at,
+       lat + CASE WHEN nav_status IN (0, 5) THEN CAST(0.02 AS DOUBLE) ELSE CAST(0.1 AS DOUBLE) END AS lat, lon
+FROM ais_positions""",
     "sanctions_entities": """
 SELECT 'S' || s_suppkey AS entity_id, s_name AS name, CAST(NULL AS VARCHAR) AS mmsi, CAST(NULL AS VARCHAR) AS imo,
        CAST(NULL AS VARCHAR) AS flag, 'Company' AS type,
        CASE s_suppkey % 3 WHEN 0 THEN 'us_ofac_sdn;eu_fsf' WHEN 1 THEN 'un_sc_sanctions'
             ELSE 'us_ofac_sdn' END AS list_source
-FROM supplier WHERE s_suppkey % 10 = 0
+FROM supplier WHERE s_acctbal < 500
 UNION ALL
 SELECT 'V' || c_custkey, c_name, CAST(200000000 + c_custkey AS VARCHAR), CAST(9000000 + c_custkey AS VARCHAR),
        NULL, 'Vessel', CASE c_custkey % 2 WHEN 0 THEN 'us_ofac_sdn' ELSE 'eu_fsf;us_ofac_sdn' END
-FROM customer WHERE c_custkey % 37 = 0""",
+FROM customer WHERE c_acctbal < -700""",
     "owned_by": """
 SELECT DISTINCT CAST(200000000 + o_custkey AS VARCHAR) AS src_id, 'S' || l_suppkey AS dst_id
-FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 1 AND o_orderkey % 10 = 0""",
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 1 AND o_orderpriority = '1-URGENT'""",
     "managed_by": """
 SELECT DISTINCT CAST(200000000 + o_custkey AS VARCHAR) AS src_id, 'S' || l_suppkey AS dst_id
-FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 2 AND o_orderkey % 10 = 1""",
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 2 AND o_orderpriority = '2-HIGH'""",
     "controlled_by": """
 SELECT 'S' || s_suppkey AS src_id, 'S' || (s_suppkey // 3) AS dst_id FROM supplier WHERE s_suppkey > 0""",
     "registered_in": f"""
@@ -64,13 +64,13 @@ FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F' GRO
 SELECT CAST(9000000 + c_custkey AS VARCHAR) AS imo,
        CASE c_custkey % 7 WHEN 0 THEN 82 WHEN 1 THEN 70 WHEN 2 THEN 60 WHEN 3 THEN 0 ELSE 30 END AS vessel_type,
        1980 + c_custkey % 50 AS build_year, c_custkey % 23 = 0 AS scrapped
-FROM customer WHERE c_custkey % 4 <> 3""",
+FROM customer WHERE c_mktsegment <> 'BUILDING'""",
     "vessel_reviews": """
 SELECT CAST(200000000 + user_id AS VARCHAR) AS mmsi,
        CASE event_type WHEN 'purchase' THEN 'confirmed' WHEN 'signup' THEN 'probable' WHEN 'click' THEN 'suspect'
             WHEN 'view' THEN 'cleared' ELSE 'inconclusive' END AS review_tier,
        ts AS reviewed_at
-FROM events WHERE event_id % 20 = 0""",
+FROM events""",
     "ranked_items": """
 SELECT CAST(d.doc_id AS VARCHAR) AS mmsi, d.source AS vessel_type, d.lang AS region,
        (d.n_chars % 1000) / CAST(1000 AS DOUBLE) AS confidence, l.quality AS y_true
@@ -78,7 +78,7 @@ FROM documents d LEFT JOIN labels l USING (doc_id)""",
     "designations": """
 SELECT CAST(200000000 + c_custkey AS VARCHAR) AS mmsi,
        TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(c_custkey % 90 AS INTEGER)) - to_days(30) AS first_seen
-FROM customer WHERE c_custkey % 3 = 0""",
+FROM customer WHERE c_mktsegment IN ('MACHINERY', 'FURNITURE')""",
 }
 
 DEPENDS = {"detections": ["ais_positions"]}

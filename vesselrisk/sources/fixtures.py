@@ -3,9 +3,8 @@
 Each function maps a landed table onto one domain table (positions, registry,
 sanctions, ownership edges, ...). The mapping rules are fixed so that the same
 views can be written in DuckDB SQL for the oracle (see ``vesselrisk.oracle``).
-The modulo rules below *define* which synthetic entities exist (e.g. which
-suppliers are sanctioned); they are not sampling, and every query reads the
-whole of each view.
+Which entities exist follows from attributes (status, balance, segment, priority,
+event type) of all rows; ids only choose values such as a vessel's type.
 """
 
 from __future__ import annotations
@@ -75,8 +74,8 @@ def vessel_meta(spark: SparkSession, base: str) -> DataFrame:
 
 def detections(spark: SparkSession, base: str) -> DataFrame:
     p = ais_positions(spark, base)
-    hit = F.col("event_id") % 7 == 0
-    return p.where((F.col("event_id") % 7).isin(0, 3)).select(
+    hit = F.col("nav_status").isin(0, 5)
+    return p.select(
         F.concat(F.lit("D"), F.col("event_id").cast("string")).alias("detection_id"),
         F.when(hit, F.col("timestamp") + F.expr("INTERVAL 20 MINUTES"))
         .otherwise(F.col("timestamp") + F.expr("INTERVAL 5 HOURS")).alias("detected_at"),
@@ -89,7 +88,7 @@ def sanctions_entities(spark: SparkSession, base: str) -> DataFrame:
     s = read_table(spark, base, "supplier")
     c = read_table(spark, base, "customer")
     m3 = F.col("s_suppkey") % 3
-    companies = s.where(F.col("s_suppkey") % 10 == 0).select(
+    companies = s.where(F.col("s_acctbal") < 500).select(
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("entity_id"),
         F.col("s_name").alias("name"),
         F.lit(None).cast("string").alias("mmsi"),
@@ -98,7 +97,7 @@ def sanctions_entities(spark: SparkSession, base: str) -> DataFrame:
         F.lit("Company").alias("type"),
         F.when(m3 == 0, "us_ofac_sdn;eu_fsf").when(m3 == 1, "un_sc_sanctions").otherwise("us_ofac_sdn").alias("list_source"),
     )
-    vessels = c.where(F.col("c_custkey") % 37 == 0).select(
+    vessels = c.where(F.col("c_acctbal") < -700).select(
         F.concat(F.lit("V"), F.col("c_custkey").cast("string")).alias("entity_id"),
         F.col("c_name").alias("name"),
         _mmsi_of(F.col("c_custkey")).alias("mmsi"),
@@ -110,8 +109,8 @@ def sanctions_entities(spark: SparkSession, base: str) -> DataFrame:
     return companies.unionByName(vessels)
 
 
-def _order_company_edges(spark: SparkSession, base: str, linenumber: int, orderkey_mod: int) -> DataFrame:
-    o = read_table(spark, base, "orders").where(F.col("o_orderkey") % 10 == orderkey_mod).select("o_orderkey", "o_custkey")
+def _order_company_edges(spark: SparkSession, base: str, linenumber: int, priority: str) -> DataFrame:
+    o = read_table(spark, base, "orders").where(F.col("o_orderpriority") == priority).select("o_orderkey", "o_custkey")
     li = read_table(spark, base, "lineitem").where(F.col("l_linenumber") == linenumber).select("l_orderkey", "l_suppkey")
     return (
         o.join(li, o.o_orderkey == li.l_orderkey)
@@ -124,11 +123,11 @@ def _order_company_edges(spark: SparkSession, base: str, linenumber: int, orderk
 
 
 def owned_by(spark: SparkSession, base: str) -> DataFrame:
-    return _order_company_edges(spark, base, 1, 0)
+    return _order_company_edges(spark, base, 1, "1-URGENT")
 
 
 def managed_by(spark: SparkSession, base: str) -> DataFrame:
-    return _order_company_edges(spark, base, 2, 1)
+    return _order_company_edges(spark, base, 2, "2-HIGH")
 
 
 def controlled_by(spark: SparkSession, base: str) -> DataFrame:
@@ -174,7 +173,7 @@ def trade_flow(spark: SparkSession, base: str) -> DataFrame:
 def equasis_vessel_ref(spark: SparkSession, base: str) -> DataFrame:
     c = read_table(spark, base, "customer")
     m7 = F.col("c_custkey") % 7
-    return c.where(F.col("c_custkey") % 4 != 3).select(
+    return c.where(F.col("c_mktsegment") != "BUILDING").select(
         _imo_of(F.col("c_custkey")).alias("imo"),
         F.when(m7 == 0, 82).when(m7 == 1, 70).when(m7 == 2, 60).when(m7 == 3, 0).otherwise(30).cast("int").alias("vessel_type"),
         (F.lit(1980) + F.col("c_custkey") % 50).cast("int").alias("build_year"),
@@ -183,7 +182,7 @@ def equasis_vessel_ref(spark: SparkSession, base: str) -> DataFrame:
 
 
 def vessel_reviews(spark: SparkSession, base: str) -> DataFrame:
-    ev = read_table(spark, base, "events").where(F.col("event_id") % 20 == 0)
+    ev = read_table(spark, base, "events")
     et = F.col("event_type")
     return ev.select(
         _mmsi_of(F.col("user_id")).alias("mmsi"),
@@ -206,7 +205,7 @@ def ranked_items(spark: SparkSession, base: str) -> DataFrame:
 
 
 def designations(spark: SparkSession, base: str) -> DataFrame:
-    c = read_table(spark, base, "customer").where(F.col("c_custkey") % 3 == 0)
+    c = read_table(spark, base, "customer").where(F.col("c_mktsegment").isin("MACHINERY", "FURNITURE"))
     return c.select(
         _mmsi_of(F.col("c_custkey")).alias("mmsi"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp")
