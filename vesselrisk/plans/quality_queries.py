@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..oracle import with_views
-from ..sources import sinks
+from ..sources import publish, sinks
 from ..sources.fixtures import Fixtures
 from ..streaming.positions import scratch_path
 from . import quality
@@ -152,3 +152,17 @@ _STEPS = (("ais_positions", True), ("vessel_meta", True), ("sanctions_entities",
 def q_dq_steps(spark, base):
     fx = Fixtures(spark, base)
     return quality.step_checks({s: (getattr(fx, s), r) for s, r in _STEPS})
+
+
+@register("publish_gate", with_views("vessel_meta") + """SELECT mmsi, imo, name, flag, CAST(ship_type AS BIGINT) AS ship_type,
+  CAST(1 AS BIGINT) AS version, 'published,rejected,skipped' AS outcomes FROM vessel_meta""")
+def q_publish_gate(spark, base):
+    """K7/K8: the registry goes live; a batch with broken ids is rejected, a too short optional one skipped; readers keep the first version."""
+    root = scratch_path(spark, "published-meta")
+    meta = Fixtures(spark, base).vessel_meta
+    broken = meta.withColumn("mmsi", F.when(F.col("flag") == "IR", F.concat(F.lit("x"), "mmsi")).otherwise(F.col("mmsi")))
+    done = [publish.publish_vessel_meta(meta, root), publish.publish_vessel_meta(broken, root),
+            publish.publish(meta.where("flag is null"), root, ["mmsi"], min_rows=1, optional=True)]
+    live = publish.read_published(spark, root)
+    return finish(live.withColumn("version", F.lit(publish.newest(spark, root).version))
+                  .withColumn("outcomes", F.lit(",".join(o.status for o in done))))
