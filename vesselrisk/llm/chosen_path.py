@@ -51,6 +51,7 @@ TREES = 6
 SMALL = 512
 SECOND = 0.25
 DEEP = 16  # from this level on small nodes may be twice as large with each level, so that the recursion ends
+ROWS_PER_TASK = 20_000  # of slim rows whose number is known
 KNOWN_BYTES = 8 << 20  # record ids are broadcast up to this size
 SEED = 13
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -309,6 +310,11 @@ def _confirm(percent: int):
     return run
 
 
+def sized(rows: DataFrame, n: int, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """As many tasks as ``n`` rows need: few rows cost few shuffle files, more get more tasks."""
+    return rows.coalesce(max(1, -(-n // per_task)))
+
+
 class Join:
     """The state of one join: records (rec, size, sig, low), their texts, checked pairs and the components of the links so far."""
 
@@ -330,7 +336,7 @@ class Join:
         """``links`` (u, v), u < v, join their components."""
         old = self.roots.select(F.col("rec").alias("u"), F.col("root").alias("v"))
         edges = old.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        self.roots = components(edges).select(F.col("node").alias("rec"), "root")
+        self.roots = components(edges, ROWS_PER_TASK).select(F.col("node").alias("rec"), "root")
 
     def check(self, pairs: DataFrame) -> None:
         """Confirms new pairs on the full sets and contracts what they link."""
@@ -338,10 +344,12 @@ class Join:
         n = new.count()
         if not n:
             return
-        sets = self.sets_of(new.select(F.explode(F.array("u", "v")).alias("rec")).distinct(), 2 * n * 8 <= KNOWN_BYTES)
+        new = sized(new, n)
+        sets = sized(self.sets_of(new.select(F.explode(F.array("u", "v")).alias("rec")).distinct(), 2 * n * 8 <= KNOWN_BYTES), 2 * n, ROWS_PER_TASK // 20)
         one = new.join(sets.select(F.col("rec").alias("u"), F.col("own").alias("own_u")), "u")
         both = one.join(sets.select(F.col("rec").alias("v"), F.col("own").alias("own_v")), "v")
         done = cut_lineage(both.select("u", "v", "own_u", "own_v").mapInArrow(_confirm(self.percent), "u long, v long, linked boolean"))
+        done = sized(done, n)
         self.checked = self.checked.unionByName(done)
         self.contract(done.where("linked"))
 

@@ -26,14 +26,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the least node of the component, for all nodes that are not their own root."""
+def components(edges: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """(node, root): the least node of the component, for all nodes that are not their own root.
+
+    With ``rows_per_task`` a step has as many tasks as its edges need, so that few edges cost few shuffle files.
+    """
+
+    def sized(edges: DataFrame, n: int) -> DataFrame:
+        return edges if rows_per_task is None else edges.coalesce(max(1, -(-n // rows_per_task)))
+
     print_of = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     edges = cut_lineage(edges.select("u", "v").distinct())
     before = print_of(edges)
+    edges = sized(edges, before[0])
     while before[0]:
         edges = cut_lineage(_small_star(_large_star(edges)))
         after = print_of(edges)
+        edges = sized(edges, after[0])
         if after == before:
             break
         before = after
