@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -162,6 +163,83 @@ def test_open_pages_keep_near_copies_and_quoted_sentences(spark):
     assert got == want
 
 
+def test_marks_inside_an_article_need_their_host():
+    body = "<article><p class='social-history'>Social history.</p><p>He <span class='notice-of-death'>died</span> then.</p><div class='social-share'>Tweet</div><p class='reader-comments'>No!</p></article>"
+    assert html._article_blocks(body) == [("weak", "Social history."), ("main", "He"), ("weak", "died"), ("main", "then.")]
+    assert html._article(body) == "Social history.\nHe\ndied\nthen."
+
+
+def test_articles_lose_the_blocks_that_their_host_repeats_at_an_edge_or_marked(spark):
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    menu, quote, foot = "Home News Sport", words(30), words(20)
+    pages, want = [], {}
+
+    def add(url, blocks, kept):
+        want[len(pages)] = "\n".join(kept)
+        pages.append((len(pages), url, "<nav>x</nav><main>" + "".join(f"<div {m}>{b}</div>" for m, b in blocks) + "</main>"))
+
+    for i in range(6):  # the menu and the foot lie at an edge, the marked block is weak, the quotation stands between own blocks
+        own = [words(9), words(12)]
+        blocks = [("", menu), ("", own[0]), ("", quote), ("class='alert-level-story'", "Level four of five"), ("", own[1]), ("", foot)]
+        add(f"https://Big.net/{i}", blocks, [own[0], quote, own[1]])
+        add(None, blocks, [b for _, b in blocks])
+    for i in range(2):  # too few pages
+        add(f"https://two.net/{i}", [("", menu), ("", f"{i} x")], [menu, f"{i} x"])
+    text = [words(15) for _ in range(5)]
+    for i in range(5):  # near copies keep all
+        add(f"https://copies.net/{i}", [("", t) for t in [*text, f"v{i}"]], [*text, f"v{i}"])
+    for i in range(5):  # equal articles are one page
+        add(f"https://same.net/?ref={i}", [("", menu), ("", text[0])], [menu, text[0]])
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for few in (html.FEW_BLOCKS, 0):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(html, "FEW_BLOCKS", few)
+            assert {r.page_id: r.text for r in html.extract(frame.repartition(5)).collect()} == want
+
+
+def test_repeated_blocks_equal_a_plain_search(spark):
+    """Blocks drawn from a small stock against counts over all pages of the host."""
+    rng = random.Random(6)
+    stock = [f"stock {i} " + "w " * rng.randrange(20) for i in range(6)]
+    pages = []
+    for i in range(60):
+        blocks = [rng.choice(stock), *(f"own {i} {k} " + "text " * 9 for k in range(2)), rng.choice(stock)]
+        pages.append((i, f"http://h{i % 4}.net/{i}", [" ".join(b.split()) for b in blocks]))
+    frame = spark.createDataFrame([(i, u, "<article><p>" + "<p>".join(b) + "</article>") for i, u, b in pages], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(frame).collect()}
+    for i, url, blocks in pages:
+        host = [b for k, _, b in pages if k % 4 == i % 4]
+        on = {b: sum(b in other for other in host) for b in blocks}
+        shared = [on[b] >= html.MIN_PAGES and on[b] * html.SHARE >= len(host) for b in blocks]
+        assert got[i] == "\n".join(b for b, s in zip(blocks, shared) if not s)
+
+
+def test_pages_with_clashing_columns(spark):
+    names = ["uid", "vr_uid", "vr_host", "covers", "host", "key", "row", "blocks", "page", "TEXT", "page_id", "odd.name`s"]
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in names) + ", url string, html string"
+    rows = [(*(f"{c}{i}" for c in names), "http://a.net", h) for i, h in enumerate(["<p>open</p>", "<main>shut</main>", None])]
+    frame = spark.createDataFrame([r for r in rows], schema.replace("`odd.name``s`", "`odd.name`"))
+    got = html.extract(frame)
+    assert got.columns == [c for c in frame.columns if c not in ("TEXT", "html")] + ["text", "n_chars"]
+    assert {(r.uid, r.covers, r.text, r.n_chars) for r in got.collect()} == {("uid0", "covers0", "open", 4), ("uid1", "covers1", "shut", 4), ("uid2", "covers2", "", 0)}
+
+
+@pytest.mark.parametrize("part", [
+    "<a ", "<a b=\"x' ", "<x \">\" ", "<!--", "<script>", "<", "<p a=\"", "</b>x", "<li><article><div></li>", "&#",
+])
+def test_malformed_pages_take_linear_time(part):
+    started = time.time()
+    html.blocks_of("<div>" * 20_000 + part * (1_000_000 // len(part)))
+    assert time.time() - started < 15
+
+
+def test_tags_with_open_quotes():
+    assert html._article("<main><a title=\"1 > 0\">x</a> <b c='>y</b></main>") == "x y"
+    assert html._article("<main>a <b 2 < 3</main>") == "a"
+    assert html._article("<main>a < b <c") == "a < b <c"
+
+
 def test_classifier_on_held_out_rows(spark):
     got = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, SF.replace("0.001", "0.01")).collect()}
     labels = [(r.doc_id, r.quality) for r in spark.read.parquet(SF.replace("0.001", "0.01") + "/labels.parquet").collect()]
