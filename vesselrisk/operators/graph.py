@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 
+NARROW = 8  # groups of a member whose subsets (2^8 at most) are counted; the count of members is the same beyond
+
 
 @dataclass
 class Graph:
@@ -188,35 +190,49 @@ def direct_sanctions_fallback(dist: DataFrame, sanctions_entities: DataFrame) ->
     )
 
 
-def union_sizes(membership: DataFrame, weight: DataFrame | None = None) -> DataFrame:
+def _subsets(groups):
+    """All non-empty subsets of an array column, each in the array's order."""
+    empty = F.array().cast("array<string>")
+    all_sets = F.aggregate(
+        groups, F.array(empty), lambda acc, g: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(g)))),
+    )
+    return F.filter(all_sets, lambda s: F.size(s) > 0)
+
+
+def union_sizes(membership: DataFrame, weight: DataFrame | None = None, narrow: int = NARROW) -> DataFrame:
     """Per member v: |U_{g in G(v)} M(g)| and the weight sum over that union.
 
     membership: (v, g) rows; weight: (v, w) with w in {0, 1} (missing -> 0).
-    Members with the same group set ("signature") are interchangeable, so
-    peers are counted between signatures: single-group signatures read their
-    group's totals directly (no pairs at all; this covers a hub owner's
-    single-owner fleet), and only multi-group signatures are matched with the
-    signatures of their groups, de-duplicated, and summed.
+    Members with the same group set ("signature") are interchangeable. Signatures of
+    at most ``narrow`` (1 or more) groups are counted by inclusion and exclusion over their own
+    subsets: each subset's count is one partial aggregation, and no two signatures
+    meet, however many share a hub. The few signatures with more groups have too many
+    subsets and are matched with the signatures of their groups instead.
     """
-    mem = membership.select("v", "g").distinct()
+    mem = membership.select("v", F.col("g").cast("string").alias("g")).distinct()
     if weight is None:
         mem = mem.withColumn("w", F.lit(0))
     else:
-        mem = mem.join(weight.select("v", "w"), "v", "left").withColumn("w", F.coalesce("w", F.lit(0)))
+        mem = mem.join(weight.groupBy("v").agg(F.max("w").alias("w")), "v", "left").withColumn("w", F.coalesce("w", F.lit(0)))
     per_v = mem.groupBy("v").agg(F.array_sort(F.collect_set("g")).alias("gs"), F.first("w").alias("w"))
     sigs = per_v.groupBy("gs").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("ws"))
-    sig_groups = sigs.select("gs", "n", "ws", F.explode("gs").alias("g"))
-    totals = sig_groups.groupBy("g").agg(F.sum("n").alias("M"), F.sum("ws").alias("S"))
-    single = sigs.where(F.size("gs") == 1).select("gs", F.col("gs")[0].alias("g")).join(totals, "g").select(
-        "gs", F.col("M").alias("u"), F.col("S").alias("us")
-    )
-    multi = sigs.where(F.size("gs") > 1).select("gs", F.explode("gs").alias("g"))
-    other = sig_groups.select(F.col("gs").alias("gs2"), "n", "ws", "g")
-    multi_u = (
-        multi.join(other, "g").select("gs", "gs2", "n", "ws").dropDuplicates(["gs", "gs2"])
-        .groupBy("gs").agg(F.sum("n").alias("u"), F.sum("ws").alias("us"))
-    )
-    sizes = single.unionByName(multi_u)
+    few, many = sigs.where(F.size("gs") <= narrow), sigs.where(F.size("gs") > narrow)
+
+    subsets = few.select("gs", "n", "ws", F.explode(_subsets(F.col("gs"))).alias("s"))
+    counts = subsets.groupBy("s").agg(F.sum("n").alias("cn"), F.sum("ws").alias("cw"))
+    sign = F.when(F.size("s") % 2 == 1, 1).otherwise(-1)
+    parts = subsets.select("gs", "s").join(counts, "s").select("gs", (sign * F.col("cn")).alias("u"), (sign * F.col("cw")).alias("us"))
+
+    wide = many.select(F.col("gs").alias("gs2"), "n", "ws", F.explode("gs").alias("g"))
+    in_one = few.where(F.size("gs") == 1).select("gs", F.col("gs")[0].alias("g")).join(
+        wide.groupBy("g").agg(F.sum("n").alias("u"), F.sum("ws").alias("us")), "g").select("gs", "u", "us")
+    in_more = sigs.where(F.size("gs") > 1).select("gs", F.explode("gs").alias("g")).join(wide, "g")
+    of_wide = many.select("gs", F.explode("gs").alias("g")).join(
+        few.select(F.col("gs").alias("gs2"), "n", "ws", F.explode("gs").alias("g")), "g")
+    pairs = in_more.unionByName(of_wide).select("gs", "gs2", "n", "ws").dropDuplicates(["gs", "gs2"])
+
+    sizes = parts.unionByName(in_one).unionByName(pairs.select("gs", F.col("n").alias("u"), F.col("ws").alias("us")))
+    sizes = sizes.groupBy("gs").agg(F.sum("u").alias("u"), F.sum("us").alias("us"))
     return per_v.join(sizes, "gs").select("v", "u", "us", "w")
 
 
