@@ -1,33 +1,69 @@
-"""Streaming gap alerts keep per-vessel state across micro-batches; late fixes never re-alert."""
+"""Streaming gap alerts keep per-vessel spans across micro-batches; late fixes take alerts back."""
 
 import datetime as dt
 import os
+import random
+
+import numpy as np
 
 from vesselrisk.streaming import positions as S
 
 
-def test_gap_alerts_across_batches(spark, tmp_path):
-    src = tmp_path / "src"
-    t0 = dt.datetime(2024, 1, 1)
-    batches = [
-        [("a", t0), ("a", t0 + dt.timedelta(hours=1)), ("b", t0)],
-        [("a", t0 + dt.timedelta(hours=12)), ("a", t0 + dt.timedelta(minutes=30)), ("b", t0 + dt.timedelta(hours=5))],
-    ]
-    for i, rows in enumerate(batches):
-        spark.createDataFrame(rows, "mmsi string, timestamp timestamp").coalesce(1).write.parquet(str(src / f"b{i}"))
-    files = sorted(p for p in src.rglob("*.parquet"))
-    land = tmp_path / "land"
+def _land(spark, tmp_path, batches, name):
+    """Batches as files of one folder, in order of arrival."""
+    land = tmp_path / name
     land.mkdir()
-    for i, f in enumerate(files):
+    for i, rows in enumerate(batches):
+        out = tmp_path / f"{name}-{i}"
+        spark.createDataFrame(rows, "mmsi string, timestamp timestamp").coalesce(1).write.parquet(str(out))
         dst = land / f"part-{i}.parquet"
-        dst.write_bytes(f.read_bytes())
-        os.utime(dst, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))  # arrival order
-    stream = spark.readStream.schema("mmsi string, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(str(land))
-    out = str(tmp_path / "alerts")
-    q = S.run_gap_alerts(stream, out, str(tmp_path / "ckpt"))
-    q.awaitTermination()
-    rows = spark.read.parquet(out).collect()
-    assert [(r["mmsi"], r["gap_minutes"]) for r in rows] == [("a", 660)]
+        dst.write_bytes(next(out.glob("*.parquet")).read_bytes())
+        os.utime(dst, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    return spark.readStream.schema("mmsi string, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(str(land))
+
+
+def _alerts(spark, tmp_path, batches, name):
+    out = str(tmp_path / f"{name}-alerts")
+    S.run_gap_alerts(_land(spark, tmp_path, batches, name), out, str(tmp_path / f"{name}-ckpt")).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def test_a_late_fix_takes_an_alert_back(spark, tmp_path):
+    t0, h = dt.datetime(2024, 1, 1), lambda x: dt.timedelta(hours=x)
+    batches = [
+        [("a", t0), ("a", t0 + h(1)), ("b", t0), (None, t0), ("c", None)],
+        [("a", t0 + h(40)), ("a", t0 + h(0.5)), ("b", t0 + h(5))],
+        [("a", t0 + h(12)), ("a", t0 + h(12)), ("a", t0 - h(30))],
+        [("a", t0 + h(30)), ("a", t0 + h(21))],
+    ]
+    changes = _alerts(spark, tmp_path, batches, "late")
+    gaps = lambda df: sorted((r["mmsi"], (r["gap_start"] - t0) / h(1), (r["gap_end"] - t0) / h(1)) for r in df.collect())
+    assert gaps(changes.where("change = -1")) == [("a", 1, 40), ("a", 12, 40)]
+    assert gaps(S.current_alerts(changes)) == [("a", -30, 0), ("a", 1, 12)]
+
+
+def test_alerts_are_the_same_for_every_order_of_files(spark, tmp_path):
+    rng = random.Random(7)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(v, t0 + dt.timedelta(minutes=rng.randrange(60 * 24 * 20))) for v in "abc" for _ in range(40)]
+    rows += [("a", t0 + dt.timedelta(minutes=m)) for m in range(0, 2000, 3)] + rows[:5]
+    want = []
+    for v in "abc":
+        times = sorted({t for m, t in rows if m == v})
+        want += [(v, a, b) for a, b in zip(times, times[1:]) if (b - a) // dt.timedelta(minutes=1) > 600]
+    for k in range(3):
+        rng.shuffle(rows)
+        cuts = [0, 30, 60, 500, len(rows)]
+        changes = _alerts(spark, tmp_path, [rows[i:j] for i, j in zip(cuts, cuts[1:])], f"order{k}")
+        got = [(r["mmsi"], r["gap_start"], r["gap_end"]) for r in S.current_alerts(changes).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_spans_meet_at_the_threshold():
+    us = np.array([0, 601, 1202, 1802]) * S.MINUTE_US
+    assert [x.tolist() for x in S.merge_spans(us, us, 600)] == [[0, us[1], us[2]], [0, us[1], us[3]]]
+    inside = S.merge_spans(np.array([0, 10]), np.array([10**12, 20]), 600)
+    assert [x.tolist() for x in inside] == [[0], [10**12]]
 
 
 def test_rows_far_behind_are_stored_once(spark, tmp_path):

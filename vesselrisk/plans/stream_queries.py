@@ -24,8 +24,8 @@ def q_stream_dedup(spark, base):
 ]) + """SELECT mmsi, prev AS gap_start, timestamp AS gap_end, (epoch_us(timestamp) - epoch_us(prev)) // 60000000 AS gap_minutes
 FROM lg WHERE prev IS NOT NULL AND (epoch_us(timestamp) - epoch_us(prev)) // 60000000 > 600""")
 def q_stream_gap_alerts(spark, base):
-    """ST4: per-vessel state; one alert per fix ending a gap longer than 10 h."""
+    """ST4: per-vessel spans as state; the alerts of gaps longer than 10 h that hold after all files."""
     out = S.scratch_path(spark, "gap-alerts")
     q = S.run_gap_alerts(S.position_stream(spark, base), out, S.scratch_path(spark, "ckpt-gaps"))
     q.awaitTermination()
-    return finish(spark.read.parquet(out).select("mmsi", "gap_start", "gap_end", F.col("gap_minutes")))
+    return finish(S.current_alerts(spark.read.parquet(out)))
