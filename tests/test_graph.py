@@ -47,3 +47,11 @@ def test_a_hub_of_members_with_several_owners(spark):
     got = G.union_sizes(rows).groupBy("u").count().collect()
     assert [(r["u"], r["count"]) for r in got] == [(n, n)]
     assert time.time() - started < 60
+
+
+def test_pairs_of_wide_signatures_are_summed_without_a_shuffle_of_pairs(spark):
+    rows = [(f"v{i}", f"g{(i + j) % 40}") for i in range(40) for j in range(14)]
+    got = G.union_sizes(spark.createDataFrame(rows, "v string, g string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in plan if "Aggregate [" in x and "gs2" in x.split("Aggregate [")[1].split("]")[0]]
+    assert {r["v"]: r["u"] for r in got.collect()} == {v: n for v, (n, _, _) in plain(rows, {}).items()}
