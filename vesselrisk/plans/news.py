@@ -22,13 +22,21 @@ from .. import config as C
 from ..functions.text import tokens
 from ..operators.ordered import top_k_per_group
 from ..operators.tracks import reuse
+from ..session import cut_lineage
+
+FEW_TERMS = 50_000  # terms up to which a table of them is broadcast
 
 
 def doc_term_scores(docs: DataFrame, asked: DataFrame, k1: float = C.BM25_K1, b: float = C.BM25_B) -> DataFrame:
     """(term, doc_id, s): BM25 contribution of each asked ``term`` in each document (whole texts)."""
     toks = docs.select("doc_id", tokens(F.col("text")).alias("t"))
     dl = toks.select("doc_id", F.size("t").alias("dl"))
-    tf = toks.select("doc_id", F.explode("t").alias("term")).join(asked, "term", "left_semi").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # The asked terms that any document has, from the documents' distinct words: with few of them no word of a text is sent.
+    words = toks.select(F.explode("t").alias("term")).distinct()
+    known = cut_lineage(words.join(asked.select("term").distinct(), "term", "left_semi"))
+    if known.count() <= FEW_TERMS:
+        known = F.broadcast(known)
+    tf = toks.select("doc_id", F.explode("t").alias("term")).join(known, "term", "left_semi").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     stats = dl.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
     n, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -55,6 +63,8 @@ def news_context(vessels: DataFrame, docs: DataFrame, n: int = C.NEWS_RESULTS, s
     q = query_terms(vessels)
     uses = q.groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
     s = reuse(doc_term_scores(docs, uses))
+    # A term without a posting scores nowhere; with it, each vessel's set of shared terms would be one of its own.
+    q = q.join(s.select("term").distinct(), "term", "left_semi")
     qs = q.join(uses, "term")
     own = qs.where(F.col("uses") < shared_from).select("mmsi", "term")
     shared = qs.where(F.col("uses") >= shared_from).select("mmsi", "term")
