@@ -31,6 +31,8 @@ TAGS = ("AIVDM", "AIVDO")
 CLASS_A = {"nav_status": (38, 4), "sog": (50, 10), "lon": (61, 28), "lat": (89, 27), "cog": (116, 12)}
 CLASS_B = {"sog": (46, 10), "lon": (57, 28), "lat": (85, 27), "cog": (112, 12)}
 MESSAGE_BITS = 168
+ARMOUR = "".join(chr(v + (48 if v < 40 else 56)) for v in range(64))  # the characters of 0 to 63
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -47,13 +49,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def sentences(lines: DataFrame) -> DataFrame:
     """(file, line, time, total, part, seq_id, payload, fill) of the lines that are AIS sentences."""
-    text = F.trim("value")
-    start = F.regexp_instr(text, F.lit("[!$]"))
-    prefix = F.when(start > 1, F.rtrim(F.expr("substring(trim(value), 1, regexp_instr(trim(value), '[!$]') - 1)"), F.lit(", ")))
-    body = F.regexp_replace(F.regexp_replace(F.when(start > 0, F.expr("substring(trim(value), regexp_instr(trim(value), '[!$]'))")).otherwise(text), "^[!$]+", ""), "\\*.*$", "")
-    f = F.split("body", ",")
+    # Fields come out of a generator, so that a line is parsed once and not again for each condition on a field.
+    text = F.explode(F.array(F.trim("value"))).alias("text")
+    at = lines.select("file", "line", text).select("file", "line", "text", F.explode(F.array(F.regexp_instr("text", F.lit("[!$]")))).alias("start"))
+    prefix = F.when(F.col("start") > 1, F.rtrim(F.expr("substring(text, 1, start - 1)"), F.lit(", ")))
+    body = F.regexp_replace(F.regexp_replace(F.when(F.col("start") > 0, F.expr("substring(text, start)")).otherwise(F.col("text")), "^[!$]+", ""), "\\*.*$", "")
+    f = F.col("f")
     return (
-        lines.withColumn("time", prefix.try_cast("timestamp")).withColumn("body", body)
+        at.select("file", "line", prefix.alias("prefix"), F.explode(F.array(F.split(body, ","))).alias("f"))
+        .withColumn("time", F.col("prefix").try_cast("timestamp"))
         .where((F.size(f) >= 7) & F.upper(F.get(f, 0)).isin(*TAGS))
         .select(
             "file", "line", "time",
@@ -67,6 +71,7 @@ def sentences(lines: DataFrame) -> DataFrame:
 
 def assemble(parts: DataFrame, reach: int = REACH) -> DataFrame:
     """One row a complete message: (file, line, time, payload, fill); line and time are those of its first sentence."""
+    parts = cut_lineage(parts)  # whole messages and parts go apart from here
     single = parts.where("total = 1").select("file", "line", "time", "payload", "fill")
     several = parts.where("total > 1").withColumn("key", F.concat_ws("\n", "file", F.col("total").cast("string"), "seq_id"))
     # The line number stands in for a time here: its previous row in blocks of lines, without one task a key.
@@ -93,20 +98,20 @@ def assemble(parts: DataFrame, reach: int = REACH) -> DataFrame:
 
 
 def unarmoured(payload: Column) -> Column:
-    """The message's first bits as a string of 0 and 1: six for each character."""
-    def bits(c: Column) -> Column:
-        v = F.ascii(c) - 48
-        return F.lpad(F.bin((v - F.when(v > 39, 8).otherwise(0)).cast("long")), 6, "0")
-
-    return F.array_join(F.transform(F.split(F.substring(payload, 1, MESSAGE_BITS // 6), ""), bits), "")
+    """The message's first bits in hexadecimal digits, four a digit: the payload is base 64 in other characters."""
+    head = F.substring(payload, 1, MESSAGE_BITS // 6)
+    return F.hex(F.try_to_binary(F.translate(head, ARMOUR, BASE64), F.lit("base64")))
 
 
 def unsigned(bits: Column, start: int, n: int) -> Column:
-    return F.conv(F.substring(bits, start + 1, n), 2, 10).cast("long")
+    first, last = start // 4, (start + n - 1) // 4
+    digits = F.conv(F.substring(bits, first + 1, last - first + 1), 16, 10).cast("long")
+    return F.shiftright(digits, 4 * (last + 1) - start - n).bitwiseAND(F.lit((1 << n) - 1).cast("long"))
 
 
 def signed(bits: Column, start: int, n: int) -> Column:
-    return unsigned(bits, start, n) - F.when(F.substring(bits, start + 1, 1) == "1", F.lit(1 << n)).otherwise(F.lit(0))
+    v = unsigned(bits, start, n)
+    return v - F.when(v >= 1 << (n - 1), F.lit(1 << n)).otherwise(F.lit(0))
 
 
 def decode(messages: DataFrame, bbox: tuple[float, float, float, float] | None = None, received_at: dt.datetime | None = None) -> DataFrame:
@@ -114,11 +119,10 @@ def decode(messages: DataFrame, bbox: tuple[float, float, float, float] | None =
     b = F.col("bits")
     kind = (
         messages.where(F.col("payload").rlike("^[0-W`-w]+$") & (F.length("payload") * 6 - F.col("fill") >= MESSAGE_BITS))
-        .withColumn("bits", unarmoured(F.col("payload")))
-        .withColumn("type", unsigned(b, 0, 6))
-        .where(F.col("type").isin(1, 2, 3, 18))
+        .where(F.substring("payload", 1, 1).isin(*[ARMOUR[t] for t in (1, 2, 3, 18)]))  # the first six bits are the type
+        .withColumn("bits", F.explode(F.array(unarmoured(F.col("payload")))))  # once a message, whatever is asked of a field
     )
-    is_b = F.col("type") == 18
+    is_b = F.substring("payload", 1, 1) == ARMOUR[18]
 
     def field(name: str, of=unsigned) -> Column:
         return F.when(is_b, of(b, *CLASS_B[name])).otherwise(of(b, *CLASS_A[name]))
@@ -146,12 +150,9 @@ def read_nmea(spark: SparkSession, path: str, bbox: tuple[float, float, float, f
 
 
 def armoured(bits: Column, n_chars: int) -> Column:
-    """The inverse of ``unarmoured`` for bit strings of 6 * ``n_chars``."""
-    def char(i: Column) -> Column:
-        v = F.conv(F.substring(bits, i * 6 + 1, F.lit(6)), 2, 10).cast("int")
-        return F.char(v + F.when(v < 40, 48).otherwise(56))
-
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n_chars - 1)), char), "")
+    """The inverse of ``unarmoured`` for bit strings of 6 * ``n_chars``, a multiple of 24; none for null."""
+    digits = [F.lpad(F.conv(F.substring(bits, at + 1, min(48, 6 * n_chars - at)), 2, 16), min(48, 6 * n_chars - at) // 4, "0") for at in range(0, 6 * n_chars, 48)]
+    return F.coalesce(F.translate(F.base64(F.unhex(F.concat(*digits))), BASE64, ARMOUR), F.lit(""))
 
 
 def as_bits(value: Column, n: int) -> Column:
