@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
@@ -122,3 +123,32 @@ def test_forest_spans_by_agreement():
     a, b, n = np.array([0, 0, 1, 2]), np.array([1, 2, 2, 3]), np.array([90, 100, 95, 85])
     on = chosen_path.forest(rec, node, root, a, b, n)
     assert sorted(zip(a[on].tolist(), b[on].tolist())) == [(0, 2), (1, 2), (2, 3)]
+
+
+def test_levels_walked_or_joined_give_the_same_nodes(spark):
+    """The records of a level follow from their minwise values and the large nodes above, known or as a table."""
+    docs = spark.createDataFrame(list(enumerate(near_copies(random.Random(14), 60, 80, 30))), "doc_id long, text string")
+    base = chosen_path.with_sets(docs, ["doc_id"]).withColumnRenamed("doc_id", "rec")
+    join = chosen_path.Join(base.selectExpr("rec", "n_shingles AS size", "sig", "low"), docs.withColumnRenamed("doc_id", "rec"), 4, 80)
+    first = join.nodes_at([]).groupBy("node").count().where("count > 5").select("node").cache()
+    ids = np.sort(np.array([r.node for r in first.collect()], np.int64).view(np.uint64))
+    rows = [sorted(map(tuple, join.nodes_at([(first, known)]).select("node", "rec").collect())) for known in (ids, None)]
+    assert len(ids) and rows[0] == rows[1] and rows[0]
+
+
+def test_two_bits_agree_where_values_do():
+    rng = np.random.default_rng(15)
+    least = rng.integers(0, 1 << 32, (40, chosen_path.N_MINHASH), dtype=np.uint32)
+    low = np.frombuffer(b"".join(chosen_path.two_bits(x) for x in least), np.uint64).reshape(40, -1)
+    want = ((least[:-1] & 3) == (least[1:] & 3)).sum(axis=1)
+    assert chosen_path.n_agree(low[:-1], low[1:]).tolist() == want.tolist()
+
+
+def test_pairs_that_the_check_takes_are_not_left_over():
+    """Two records that agree make one pair of the forest, and none of them comes again in the end; of three, the other pair does."""
+    low = chosen_path.two_bits(np.arange(chosen_path.N_MINHASH))
+    names = ["node", "rec", "root", "size", "low"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in ([1, 1, 2, 2, 2], [1, 2, 3, 4, 5], [1, 2, 3, 4, 5], [9] * 5, [low] * 5)], names=names)
+    found = [r for b in chosen_path._candidates(80)([batch]) for r in b.to_pylist()]
+    assert sum(r["v"] is not None for r in found) == 3
+    assert {r["node"] for r in found if r["v"] is None} == {2}

@@ -8,16 +8,18 @@ record. A record carries ``N_MINHASH`` minwise values of its set.
    the record's value there. The root picks two positions, a deeper node one, or two with
    probability ``SECOND``, so similar records keep meeting while others part, and rows do not grow.
 2. Nodes of at most ``SMALL`` records are compared exhaustively by their minwise values. Of the pairs that
-   agree in ``AGREE`` positions or more (a pair at the threshold agrees in 102 of 128 on average, with a
-   deviation of 4.5; a byte of each value is compared), a spanning forest by agreement goes on to the check first.
+   agree in ``AGREE`` positions or more (a pair at the threshold agrees in 109 of 128 on average, with a
+   deviation of 4; two bits of each value are compared), a spanning forest by agreement goes on to the check first.
 3. Nodes whose records are already of one component end: their links could not join anything further. In
    a larger node with at most ``SMALL`` records outside its largest component, these are compared exhaustively with
    blocks of the component. In any other larger node all records are compared with one of them, and it branches on.
 4. Candidates are confirmed on the full sets: 100 * intersection >= ``PERCENT`` * union. Confirmed
-   links are contracted to components after each level. In the end the pairs of compared nodes that are
+   links are contracted to components after each level. In the end the other pairs of compared nodes that are
    still in different components are confirmed inside the node's task, where each such record's set comes once, so no
    candidate between different components is left out and nothing emits all pairs of a group.
 
+A record's nodes of a level follow from its minwise values and the large nodes above, so no level writes the records again.
+
 A pair at the threshold stays together in a tree's first level with probability 0.96 and over five levels with about 0.7;
 six trees lose it with probability under 1e-8 and 1e-3, a more similar one far less. Records that are linked to
 several others of their group have as many chances more. Shingles are compared by 64 bits of hash, sets of documents by 128.
@@ -39,14 +41,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import slices, with_columns
-from .common import cut_lineage, shared_path
+from .common import shared_path, written
 from .components import components
 from .simhash import LOWER, Roots
 
 SHINGLE = 4
 PERCENT = 80
 N_MINHASH = 128
-AGREE = 86
+AGREE = 94
 TREES = 6
 SMALL = 512
 SECOND = 0.25
@@ -94,7 +96,7 @@ def minwise(own: np.ndarray) -> np.ndarray:
 
 
 def with_sets(docs: DataFrame, keep: list[str], text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The ``keep`` columns, the text, ``n_shingles``, ``k1`` and ``k2`` (128 bits of the set), ``sig`` (its minwise values) and ``low`` (a byte of each)."""
+    """The ``keep`` columns, the text, ``n_shingles``, ``k1`` and ``k2`` (128 bits of the set), ``sig`` (16 bits of its minwise values) and ``low`` (two bits of each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,7 +108,7 @@ def with_sets(docs: DataFrame, keep: list[str], text: str = "text", shingle: int
                         raw = own.tobytes()
                         keys = (xxhash.xxh64_intdigest(raw, 1), xxhash.xxh64_intdigest(raw, 2)) if len(own) else (0, 0)
                         least = minwise(own) if len(own) else None
-                        done[t] = (len(own), *keys, None if least is None else least.tobytes(), None if least is None else least.astype(np.uint8).tobytes())
+                        done[t] = (len(own), *keys, *((None, None) if least is None else (least.astype(np.uint16).tobytes(), two_bits(least))))
                 n, k1, k2, sig, low = zip(*[done[t] for t in texts])
                 signed = lambda k: pa.array(np.array(k, np.uint64).view(np.int64))
                 new = {"n_shingles": pa.array(n, pa.int64()), "k1": signed(k1), "k2": signed(k2), "sig": pa.array(sig, pa.binary()), "low": pa.array(low, pa.binary())}
@@ -117,35 +119,55 @@ def with_sets(docs: DataFrame, keep: list[str], text: str = "text", shingle: int
     return docs.select(*[F.col(f"`{c}`") for c in [*keep, text]]).mapInArrow(run, schema)
 
 
-def signatures(column: pa.Array, dtype=np.uint32) -> np.ndarray:
-    """Binary minwise values as a matrix of (row, position)."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), N_MINHASH)
+def two_bits(least: np.ndarray) -> bytes:
+    """The last two bits of each value, 32 values in 64 bits."""
+    return ((least & 3).astype(np.uint8).reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
+
+
+def signatures(column: pa.Array, dtype=np.uint16) -> np.ndarray:
+    """Binary minwise values as a matrix with a row a record."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), -1)
 
 
-def children(node: np.ndarray, sig: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, child) of all rows of nodes of this level."""
+def n_agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Positions with equal bits, row by row; two bits a position."""
+    d = x ^ y
+    return N_MINHASH - np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1, dtype=np.int64)
+
+
+def children(node: np.ndarray, of: np.ndarray, sig: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """(child, row of ``sig``) of all rows (node, row of ``sig``) of this level."""
     pick = mixed(node * MIX + np.uint64(2 * level + 1))
     first = (pick % np.uint64(N_MINHASH)).astype(np.int64)
     second = (first + 1 + ((pick >> np.uint64(16)) % np.uint64(N_MINHASH - 1)).astype(np.int64)) % N_MINHASH
     two = np.full(len(node), True) if level == 0 else (pick >> np.uint64(40)).astype(np.float64) < SECOND * 2.0**24
     rows = np.concatenate([np.arange(len(node)), np.nonzero(two)[0]])
     position = np.concatenate([first, second[two]])
-    value = sig[rows, position].astype(np.uint64)
-    return rows, mixed((node[rows] ^ mixed(value * MIX + position.astype(np.uint64))) + np.uint64(level))
+    value = sig[of[rows], position].astype(np.uint64)
+    return mixed((node[rows] ^ mixed(value * MIX + position.astype(np.uint64))) + np.uint64(level)), of[rows]
+
 
+def _branch(level: int, trees: range, larges: list[np.ndarray], last: bool):
+    """Rows (node, rec, root, size, sig, low) to those of the nodes below: a level, and one more under the large nodes of each in ``larges``.
+
+    The last rows are without ``sig``.
+    """
 
-def _branch(level: int, trees: range = range(0)):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            sig = signatures(b.column(2))
-            node, rec = np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1))
-            if level == 0:  # a root a tree
-                roots = mixed(np.array(trees, np.uint64) + np.uint64(1))
-                node, rec, sig = np.tile(roots, len(rec)), np.repeat(rec, len(roots)), np.repeat(sig, len(roots), axis=0)
-            rows, child = children(node, sig, level)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(rec[rows])], names=["node", "rec"])
+        held = [1, 2, 3, 5] if last else [1, 2, 3, 4, 5]
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1 << 12):
+                b = batch.slice(start, 1 << 12)
+                node, sig, of = np.asarray(b.column(0)).view(np.uint64), signatures(b.column(4)), np.arange(b.num_rows)
+                if level == 0:  # a root a tree
+                    roots = mixed(np.array(trees, np.uint64) + np.uint64(1))
+                    node, of = np.tile(roots, len(of)), np.repeat(of, len(roots))
+                node, of = children(node, of, sig, level)
+                for deeper, ids in enumerate(larges, level + 1):
+                    on = ids[np.minimum(np.searchsorted(ids, node), len(ids) - 1)] == node
+                    node, of = children(node[on], of[on], sig, deeper)
+                at = pa.array(of)
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *[b.column(c).take(at) for c in held]], names=["node", *[b.schema.names[c] for c in held]])
 
     return run
 
@@ -162,7 +184,7 @@ def agreeing(node: np.ndarray, root: np.ndarray, sig: np.ndarray, size: np.ndarr
         other = a[(root[a] != root[a + step]) & (100 * low >= percent * high)]
         for i in range(0, len(other), 1 << 14):
             x = other[i : i + (1 << 14)]
-            n = (sig[x] == sig[x + step]).sum(axis=1)
+            n = n_agree(sig[x], sig[x + step])
             on = n >= least
             found.append((x[on], x[on] + step, n[on]))
         step += 1
@@ -210,11 +232,11 @@ def by_node(batches: Iterator[pa.RecordBatch], rows: int = 1 << 14, most: int =
 
 def _pairs(t: pa.Table, percent: int) -> tuple[np.ndarray, ...]:
     node, rec, root, size = (t.column(c).to_numpy() for c in ("node", "rec", "root", "size"))
-    return node, rec, root, *agreeing(node, root, signatures(t.column("low").combine_chunks(), np.uint8), size, percent)
+    return node, rec, root, *agreeing(node, root, signatures(t.column("low").combine_chunks(), np.uint64), size, percent)
 
 
 def _candidates(percent: int):
-    """Rows (node, rec, root, size, low), sorted by node, to each node's pairs that span its components, and to the records with a candidate.
+    """Rows (node, rec, root, size, low), sorted by node, to each node's pairs that span its components, and to the records with any other candidate.
 
     ``u`` and ``v`` are a pair, or ``v`` is null and ``u`` a record of ``node``.
     """
@@ -226,7 +248,9 @@ def _candidates(percent: int):
                 continue
             on = forest(rec, node, root, a, b, n)
             both = np.unique(np.stack([np.minimum(rec[a[on]], rec[b[on]]), np.maximum(rec[a[on]], rec[b[on]])]), axis=1)
-            own = np.unique(np.concatenate([a, b]))
+            other = np.ones(len(a), bool)
+            other[on] = False
+            own = np.unique(np.concatenate([a[other], b[other]]))
             u, v = np.concatenate([both[0], rec[own]]), np.concatenate([both[1], rec[own]])
             of_pair = np.arange(len(u)) < both.shape[1]
             where = np.concatenate([np.zeros(both.shape[1], np.int64), node[own]])
@@ -279,7 +303,7 @@ def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not b.num_rows:
             continue
         rec, centre = np.asarray(b.column(0)), np.asarray(b.column(2))
-        on = (signatures(b.column(1), np.uint8) == signatures(b.column(3), np.uint8)).sum(axis=1) >= AGREE
+        on = n_agree(signatures(b.column(1), np.uint64), signatures(b.column(3), np.uint64)) >= AGREE
         u, v = np.minimum(rec, centre)[on], np.maximum(rec, centre)[on]
         yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
@@ -324,23 +348,26 @@ class Join:
         self.partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.checked = self.spark.createDataFrame([], "u long, v long, linked boolean")
         self.roots = self.spark.createDataFrame([], "rec long, root long")
+        self.n_roots = 0
 
     def with_root(self, rows: DataFrame) -> DataFrame:
-        return rows.join(self.roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
+        roots = F.broadcast(self.roots) if self.n_roots * 16 <= KNOWN_BYTES else self.roots
+        return rows.join(roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
 
     def sets_of(self, ids: DataFrame, few: bool) -> DataFrame:
         wanted = self.texts.join(F.broadcast(ids) if few else ids, "rec", "left_semi")
-        return cut_lineage(wanted.select("rec", "text").mapInArrow(_sets(self.shingle), "rec long, own binary"))
+        return written(wanted.select("rec", "text").mapInArrow(_sets(self.shingle), "rec long, own binary"), "full-sets")
 
     def contract(self, links: DataFrame) -> None:
         """``links`` (u, v), u < v, join their components."""
         old = self.roots.select(F.col("rec").alias("u"), F.col("root").alias("v"))
         edges = old.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         self.roots = components(edges, ROWS_PER_TASK).select(F.col("node").alias("rec"), "root")
+        self.n_roots = self.roots.count()
 
     def check(self, pairs: DataFrame) -> None:
         """Confirms new pairs on the full sets and contracts what they link."""
-        new = cut_lineage(pairs.distinct().join(self.checked.select("u", "v"), ["u", "v"], "left_anti"))
+        new = written(pairs.distinct().join(self.checked.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
         n = new.count()
         if not n:
             return
@@ -348,80 +375,97 @@ class Join:
         sets = sized(self.sets_of(new.select(F.explode(F.array("u", "v")).alias("rec")).distinct(), 2 * n * 8 <= KNOWN_BYTES), 2 * n, ROWS_PER_TASK // 20)
         one = new.join(sets.select(F.col("rec").alias("u"), F.col("own").alias("own_u")), "u")
         both = one.join(sets.select(F.col("rec").alias("v"), F.col("own").alias("own_v")), "v")
-        done = cut_lineage(both.select("u", "v", "own_u", "own_v").mapInArrow(_confirm(self.percent), "u long, v long, linked boolean"))
+        done = written(both.select("u", "v", "own_u", "own_v").mapInArrow(_confirm(self.percent), "u long, v long, linked boolean"), "confirmed")
         done = sized(done, n)
         self.checked = self.checked.unionByName(done)
         self.contract(done.where("linked"))
 
-    def full_rows(self, rows: DataFrame) -> DataFrame:
-        return self.with_root(rows).join(self.records.select("rec", "size", "low"), "rec").select("node", "rec", "root", "size", "low")
+    def nodes_at(self, larges: list[tuple[DataFrame, np.ndarray | None]]) -> DataFrame:
+        """(node, rec, root, size, low): all records in the nodes under the large nodes of each level so far.
 
-    def compare(self, rows: DataFrame) -> DataFrame:
-        """Spanning pairs (u, v) of small nodes (node, rec), and the records (node, u) with a candidate."""
-        dealt = self.full_rows(rows).repartition(self.partitions, "node").sortWithinPartitions("node", "rec")
-        return cut_lineage(dealt.mapInArrow(_candidates(self.percent), "node long, u long, v long"))
+        Large nodes come as a table, and sorted if they are known to be few; then levels are walked in one step, without a join.
+        """
+        rows = self.with_root(self.records).select(F.lit(0).cast("long").alias("node"), "rec", "root", "size", "sig", "low")
+        start, walked = 0, []
+        for level, (table, ids) in enumerate(larges):
+            if ids is not None:
+                walked.append(ids)
+                continue
+            schema = "node long, rec long, root long, size long, sig binary, low binary"
+            below = rows.mapInArrow(_branch(start, range(0 if start else TREES), walked, False), schema)
+            rows = below.join(table, "node", "left_semi").select("node", "rec", "root", "size", "sig", "low")
+            start, walked = level + 1, []
+        return rows.mapInArrow(_branch(start, range(0 if start else TREES), walked, True), "node long, rec long, root long, size long, low binary")
 
     def run(self) -> None:
-        """The first tree on its own: what it links need not be compared in the others."""
-        seen = self.descend(range(1)) + self.descend(range(1, TREES))
-        rest = seen[0]
-        for more in seen[1:]:
-            rest = rest.unionByName(more)
+        rest = self.descend()
         rooted = self.with_root(rest)
         open_nodes = rooted.groupBy("node").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2").select("node")
-        rest = cut_lineage(rest.join(open_nodes, "node"))
+        rest = written(rest.join(open_nodes, "node"), "rest")
         n = rest.count()
         if not n:
             return
         sets = self.sets_of(rest.select("rec").distinct(), n * 8 <= KNOWN_BYTES)
-        full = self.full_rows(rest).join(sets, "rec").select("node", "rec", "root", "size", "low", "own")
+        full = self.with_root(rest).join(sets, "rec").select("node", "rec", "root", "size", "low", "own")
         dealt = full.repartition(self.partitions, "node").sortWithinPartitions("node", "rec")
-        self.contract(dealt.mapInArrow(_confirm_nodes(self.percent), "u long, v long"))
+        self.contract(written(dealt.mapInArrow(_confirm_nodes(self.percent), "u long, v long"), "links"))
 
-    def descend(self, trees: range) -> list[DataFrame]:
-        """Branches until no large node is left; the compared nodes (node, rec) of each level."""
-        roots = self.records.select(F.lit(0).cast("long").alias("node"), "rec", "sig")
-        rows = roots.mapInArrow(_branch(0, trees), "node long, rec long")
-        seen = []
+    def descend(self) -> DataFrame:
+        """Branches until no large node is left; the records (node, rec, size, low) of compared nodes with pairs that are not checked yet."""
+        larges, rest = [], []
         level = 1
         while True:
             limit = SMALL * 2 ** max(0, level - DEEP)
-            rows = cut_lineage(self.with_root(rows))
-            per = rows.groupBy("node", "root").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("rec", "node"), "rec")).alias("one"))
-            main = F.max(F.struct("c", "root"))
-            nodes = per.groupBy("node").agg(F.sum("c").alias("n"), F.count("*").alias("parts"), main.alias("main"), F.min("one")["rec"].alias("centre"))
-            nodes = nodes.where("parts > 1").select("node", "n", (F.col("n") - F.col("main.c")).alias("others"), F.col("main.root").alias("main"), "centre")
-            nodes = cut_lineage(nodes)
-            small = rows.join(nodes.where(F.col("n") <= limit).select("node"), "node").select("node", "rec")
-            uneven = rows.join(nodes.where((F.col("n") > limit) & (F.col("others") <= limit)), "node")
-            few = small.unionByName(blocks(uneven, limit))
-            found = self.compare(few)
-            seen.append(found.where("v is null").select("node", F.col("u").alias("rec")))
+            rows = self.nodes_at(larges)
+            big = written(rows.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > limit), "big-nodes")
+            if n_big := big.count():
+                few = n_big * 64 <= KNOWN_BYTES
+                in_big = rows.join(F.broadcast(big) if few else big, "node")
+                one = F.min(F.struct(F.xxhash64("rec", "node").alias("h"), "rec", "low")).alias("one")
+                per = in_big.groupBy("node", "root").agg(F.count("*").alias("c"), one)
+                main = F.max(F.struct("c", "root")).alias("main")
+                nodes = per.groupBy("node").agg(F.sum("c").alias("n"), F.count("*").alias("parts"), main, F.min("one").alias("one"))
+                others = F.col("n") - F.col("main.c")
+                kind = F.when(F.col("parts") == 1, "done").when(others <= limit, "uneven").otherwise("large")
+                nodes = nodes.select("node", "n", F.col("main.root").alias("main"), F.col("one.rec").alias("centre"), F.col("one.low").alias("centre_low"), kind.alias("kind"))
+                nodes = written(nodes, "nodes")
+                few_of = lambda d: F.broadcast(d) if few else d
+                compared = blocks(rows.join(few_of(nodes.select("node", "n", "main", "kind")), "node", "left"), limit)
+                large = nodes.where("kind = 'large'")
+                deeper = not large.isEmpty()
+            else:
+                compared, deeper = rows, False
+            dealt = compared.repartition(self.partitions, "node").sortWithinPartitions("node", "rec")
+            found = written(dealt.mapInArrow(_candidates(self.percent), "node long, u long, v long"), "found")
+            rest.append(found.where("v is null").select("node", F.col("u").alias("rec")))
             pairs = found.where("v is not null").select("u", "v")
-            large = nodes.where((F.col("n") > limit) & (F.col("others") > limit))
-            deeper = not large.isEmpty()
             if deeper:
-                many = cut_lineage(rows.join(large.select("node", "centre"), "node").join(self.records, "rec").select("node", "rec", "sig", "low", "centre"))
-                centres = many.where("rec = centre").select("node", F.col("low").alias("centre_low"))
-                starred = many.where("rec <> centre").join(centres, "node").select("rec", "low", "centre", "centre_low")
+                starred = rows.join(few_of(large), "node").where("rec <> centre and root <> centre").select("rec", "low", "centre", "centre_low")
                 pairs = pairs.unionByName(starred.mapInArrow(_star, "u long, v long"))
             self.check(pairs)
             if not deeper:
-                return seen
-            rows = many.select("node", "rec", "sig").mapInArrow(_branch(level), "node long, rec long")
+                break
+            ids = np.sort(np.array([r["node"] for r in large.select("node").collect()], np.int64).view(np.uint64)) if few else None
+            larges.append((large.select("node"), ids))
             level += 1
+        every = rest[0]
+        for more in rest[1:]:
+            every = every.unionByName(more)
+        return every.join(self.records.select("rec", "size", "low"), "rec").select("node", "rec", "size", "low")
 
 
 def blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Nodes (node, rec, root, n, main) of one large component and few other records as small nodes (node, rec).
+    """Rows (node, rec, root, size, low, n, main, kind) of nodes to be compared, without a kind as they are.
 
-    The component's records are dealt out to blocks of about ``size``; the others go to each of these.
+    An uneven node has one large component and few other records: the component's records are dealt out to blocks
+    of about ``size``; the others go to each of these. Rows of nodes of other kinds go.
     """
     n = F.ceil(F.col("n") / size).cast("int")
     own = F.array(F.pmod(F.xxhash64("rec"), n).cast("int"))
     every = F.sequence(F.lit(0), n - 1)
-    block = F.explode(F.when(F.col("root") == F.col("main"), own).otherwise(every)).alias("block")
-    return rows.select("node", "rec", block).select(F.xxhash64("node", "block").alias("node"), "rec")
+    block = F.when(F.col("kind").isNull(), F.array(F.lit(-1))).when(F.col("root") == F.col("main"), own).otherwise(every)
+    dealt = rows.where("kind is null or kind = 'uneven'").select("node", "rec", "root", "size", "low", F.explode(block).alias("block"))
+    return dealt.withColumn("node", F.when(F.col("block") < 0, F.col("node")).otherwise(F.xxhash64("node", "block"))).drop("block")
 
 
 def near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -433,12 +477,14 @@ def near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
     base = spark.read.parquet(path)  # written once: row numbers are the same for all uses
     key = ["n_shingles", "k1", "k2"]
     keyed = base.where("n_shingles > 0").groupBy(*key).agg(F.min("at").alias("rec"), F.min("doc_id").alias("least"))
-    keyed = cut_lineage(keyed)
+    keyed = written(keyed, "keyed")
     recs = keyed.select(F.col("rec").alias("at"))
-    few = recs.count() * 8 <= KNOWN_BYTES
-    path = shared_path(spark, "records")
-    base.select("at", "n_shingles", "sig", "low").join(F.broadcast(recs) if few else recs, "at", "left_semi").select(F.col("at").alias("rec"), F.col("n_shingles").alias("size"), "sig", "low").write.parquet(path)
-    join = Join(spark.read.parquet(path), base.select(F.col("at").alias("rec"), "text"), shingle, percent)
+    if recs.count() * 8 <= KNOWN_BYTES:  # read where they are; else written apart
+        chosen = base.join(F.broadcast(recs), "at", "left_semi").select(F.col("at").alias("rec"), F.col("n_shingles").alias("size"), "sig", "low")
+    else:
+        chosen = base.select("at", "n_shingles", "sig", "low").join(recs, "at", "left_semi").select(F.col("at").alias("rec"), F.col("n_shingles").alias("size"), "sig", "low")
+        chosen = written(chosen, "records")
+    join = Join(chosen, base.select(F.col("at").alias("rec"), "text"), shingle, percent)
     join.run()
     rooted = keyed.join(join.roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component"))

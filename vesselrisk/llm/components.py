@@ -8,41 +8,47 @@ node is hot. The steps end with one edge from each node to the least node of its
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import written
+
+FEW_TASKS = 50
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+def _large_star(edges: DataFrame, dealt: Callable) -> DataFrame:
+    both = dealt(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return dealt(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, dealt: Callable) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    return dealt(moved.unionByName(least.select("u", F.col("m").alias("v")))).distinct()
 
 
 def components(edges: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """(node, root): the least node of the component, for all nodes that are not their own root.
 
-    With ``rows_per_task`` a step has as many tasks as its edges need, so that few edges cost few shuffle files.
+    With ``rows_per_task``, up to ``FEW_TASKS`` tasks of so many edges are dealt out by ``u``, once a star, so that few edges
+    cost few shuffle files; more are left to Spark, which may split a hot node.
     """
 
-    def sized(edges: DataFrame, n: int) -> DataFrame:
-        return edges if rows_per_task is None else edges.coalesce(max(1, -(-n // rows_per_task)))
+    def dealer(n: int) -> Callable:
+        if rows_per_task is None or n > FEW_TASKS * rows_per_task:
+            return lambda rows: rows
+        return lambda rows: rows.repartition(max(1, -(-n // rows_per_task)), "u")
 
     print_of = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    edges = cut_lineage(edges.select("u", "v").distinct())
+    edges = written(edges.select("u", "v").distinct(), "edges")
     before = print_of(edges)
-    edges = sized(edges, before[0])
     while before[0]:
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        dealt = dealer(before[0])
+        edges = written(_small_star(_large_star(edges, dealt), dealt), "edges")
         after = print_of(edges)
-        edges = sized(edges, after[0])
         if after == before:
             break
         before = after
