@@ -21,7 +21,7 @@ from vesselrisk.session import ensure_conf
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     rows = pack(docs).select("row", "row.text", "row.lang")
-    return unpack(quality_rules.judge(rows).where("kept"), docs.columns)
+    return unpack(quality_rules.judge(rows, keep=["row"]).where("kept"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import os
 import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -13,6 +14,7 @@ from oracle_check import rows_of  # noqa: E402
 from test_dedup import plain_fingerprint, plain_groups, plain_hits  # noqa: E402
 
 from vesselrisk.llm import mixing, quality_rules  # noqa: E402
+from vesselrisk.llm.common import checkpoint_dir  # noqa: E402
 from vesselrisk.llm.queries import ORACLE, QUERIES, SOURCE_WEIGHTS  # noqa: E402
 
 
@@ -24,6 +26,17 @@ def test_oracle(spark, name):
     assert rows_of(QUERIES[name](spark, SF).toPandas()) == rows_of(con.execute(ORACLE[name]).df())
 
 
+def test_quality_stage_writes_a_text_once(spark):
+    """The counts of the quality rules are written beside one copy of the document, not two."""
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("counted-*"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = corpus_pipeline.quality(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() > 0
+    (counted,) = set(folder.glob("counted-*")) - before
+    assert spark.read.parquet(str(counted)).schema.simpleString().count("text:") == 1
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {r.doc_id: r for r in quality_rules.judge(docs).where("kept").collect()}
