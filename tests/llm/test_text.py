@@ -278,3 +278,26 @@ def test_weights_are_repetitions():
     y = (x[:, 0] + x[:, 1] > 0).astype(float)
     a, b = classifier.fit(x, y, w.astype(float)), classifier.fit(np.repeat(x, w, axis=0), np.repeat(y, w))
     assert np.allclose(a.score(x), b.score(x), atol=1e-6)
+
+
+def test_new_words_are_encoded_many_a_call():
+    """Words of letters, punctuation and a line feed go to the model in groups, with the ids of the whole tokenizer."""
+    enc = tokens.Encoder(tokenizer_path())
+    assert enc.apart
+
+    class Counted:
+        calls = 0
+
+        def tokenize(self, text, model=enc.model):
+            Counted.calls += 1
+            return model.tokenize(text)
+
+    enc.model = Counted()
+    odd = ["stra\u00dfe.\nNeu,", "\u00e0\u00a0x", "it's", "a\u0301b", "x1", "--", "a-b", "b.\n\nc", "\u65e5\u672c", "\u0131\u024f!?", "\u00c3\u00a0", "\xa0", "e\u0130;"]
+    words = [f"{'aeiou'[i % 5]}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{'.,;!'[i % 4] * (i % 3)}" for i in range(600)] + odd
+    texts = ["First " + " ".join(words[i:] + words[:i]) for i in range(0, len(words), 97)]
+    for _ in range(2):
+        ids, lengths = enc.encode(texts)
+        want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert 0 < Counted.calls < 60
