@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from vesselrisk.llm import components as components_module
 from vesselrisk.llm import decontamination, simhash, suffix_dedup
 from vesselrisk.llm.deepshallow import lcp, suffix_order
 
@@ -201,3 +202,17 @@ def test_keep_one_when_later_scans_split_files_otherwise(spark, tmp_path, monkey
         spark.conf.set(setting, before)
     groups = plain_groups(list(range(200)), [plain_fingerprint(t) for t in texts])
     assert got == sorted(set(groups))
+
+
+@pytest.mark.parametrize("buffer", [1 << 17, 7])
+def test_components_contract_edges_within_tasks(spark, monkeypatch, buffer):
+    """A long path and some stars, in one last task and with stars over what many buffers leave."""
+    stars = []
+    monkeypatch.setattr(components_module, "BUFFER", buffer)
+    monkeypatch.setattr(components_module, "_large_star", lambda *a, f=components_module._large_star: stars.append(1) or f(*a))
+    edges = [(i + 1, i) for i in range(100, 160)] + [(i, 5) for i in range(10, 40)] + [(200, 30), (200, 30)]
+    frame = spark.createDataFrame(edges, "u long, v long").repartition(5)
+    got = {(r["node"], r["root"]) for r in components_module.components(frame, 20).collect()}
+    assert got == {(i, 100) for i in range(101, 161)} | {(i, 5) for i in [*range(10, 40), 200]}
+    assert bool(stars) == (buffer == 7)
+    assert components_module.components(frame.where("false"), 20).count() == 0
