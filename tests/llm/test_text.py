@@ -63,6 +63,27 @@ def test_grammar_round_trip_and_random_access():
     assert len(tokens.repair(np.tile([1, 2, 3, 4], 4000).astype(np.uint32))[1]) < 4000
 
 
+def _twice(seq):
+    """Pairs that occur twice or more without overlap."""
+    ends, count = {}, {}
+    for i, pair in enumerate(zip(seq.tolist(), seq[1:].tolist())):
+        if ends.get(pair, -1) < i:
+            ends[pair], count[pair] = i + 1, count.get(pair, 0) + 1
+    return {pair for pair, n in count.items() if n > 1}
+
+
+def test_grammar_ends_when_no_pair_occurs_twice():
+    rng = np.random.default_rng(4)
+    run = rng.integers(0, 50_000, 9000)  # a long copy: more pairs than a round took, and more rounds than four
+    few = [np.concatenate([np.tile([i, i + 1], i) for i in range(1, 60)]), np.repeat(rng.integers(0, 9, 900), rng.integers(1, 9, 900))]
+    for seq in (np.tile(run, 2), rng.integers(0, 3, 20_000), rng.integers(0, 400, 20_000), np.tile([1, 2, 3, 1, 2], 900), *few):
+        rules, packed = tokens.repair(seq.astype(np.uint32))
+        assert np.array_equal(tokens.decode(rules, packed), seq) and not _twice(packed)
+        assert len(set(map(tuple, rules.tolist()))) == len(rules)  # a pair has one rule
+        assert np.array_equal(tokens.rule_lengths(rules), tokens.expansions(rules)[1])
+    assert len(tokens.repair(np.tile(run, 2).astype(np.uint32))[1]) == 2
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_tokens_read_back(spark, odd, plain, monkeypatch, small):
     if small:
